@@ -67,9 +67,16 @@ def _two_totals(expected: DataFrame, actual: DataFrame) -> DataFrame:
                  F.max(F.when(F.col("_tag") == "a", F.col("total"))).alias("actual_value"))
 
 
+MONEY_DECIMAL = "decimal(38,12)"
+
+
 def rounded_total(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
-    """E-11 ``round(sum(col), digits)``."""
-    return df.agg(F.round(F.sum(col), digits).alias("total"))
+    """E-11 ``round(sum(col), digits)``.
+
+    The sum runs in DECIMAL(38,12): exact and independent of the order in which
+    partial sums meet, so the rounded total cannot flip between runs or engines.
+    """
+    return df.agg(F.round(F.sum(F.col(col).cast(MONEY_DECIMAL)), digits).cast("double").alias("total"))
 
 
 def check_conservation(staged: DataFrame, ssot: DataFrame, *, tolerance: float = 0.0,

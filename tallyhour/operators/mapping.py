@@ -30,6 +30,9 @@ def checked_dim(dim: DataFrame, key_exprs: Sequence[Column], *, max_rows: int =
     the uniqueness test.
     """
     keyed = dim.select([e.alias(f"_k{i}") for i, e in enumerate(key_exprs)])
+    memo_key = (dim.sparkSession.sparkContext.applicationId, keyed.semanticHash(), max_rows, check_unique)
+    if memo_key in _CHECKED:
+        return F.broadcast(dim) if _CHECKED[memo_key] else dim
     kcols = [f"_k{i}" for i in range(len(key_exprs))]
     nonnull = F.lit(True)
     for k in kcols:
@@ -40,7 +43,12 @@ def checked_dim(dim: DataFrame, key_exprs: Sequence[Column], *, max_rows: int =
     if check_unique and stats["max_dup"] > 1:
         bad = [tuple(r[k] for k in kcols) for r in per_key.where("_n > 1").limit(10).collect()]
         raise DimensionKeyError(f"dimension key not unique; duplicated keys (up to 10): {bad}")
-    return F.broadcast(dim) if stats["rows"] <= max_rows else dim
+    _CHECKED[memo_key] = stats["rows"] <= max_rows
+    return F.broadcast(dim) if _CHECKED[memo_key] else dim
+
+
+# (application, plan hash of the keyed dimension, bound, uniqueness flag) -> broadcastable
+_CHECKED: dict = {}
 
 
 def map_advertiser(df: DataFrame, dim: DataFrame, *, line_item_col: str = "line_item") -> DataFrame:

@@ -114,8 +114,15 @@ def check_single_match(touched: DataFrame, src: DataFrame, spec: MergeSpec) -> N
 
 
 def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
-               dates: Iterable | None = None, check_cardinality: bool = True) -> MergeResult:
-    """Merge ``source`` into ``target`` (both DataFrames); returns the new target lazily."""
+               dates: Iterable | None = None, check_cardinality: bool = True,
+               materialize: Callable[[DataFrame], DataFrame] | None = None) -> MergeResult:
+    """Merge ``source`` into ``target`` (both DataFrames); returns the new target.
+
+    ``source`` should be materialised (a staged table): its dates, the
+    cardinality check and the join all read it. ``materialize`` (e.g. a
+    checkpoint) is applied to the merged touched partitions only; the new
+    target is ``untouched UNION merged``.
+    """
     dc = spec.date_col
     if dates is None:
         dates = [r[0] for r in source.select(dc).distinct().collect()]
@@ -144,6 +151,8 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
             e = F.when(source_only, ins).otherwise(e)
         cols.append(e.cast(target.schema[c].dataType).alias(c))
     merged = j.select(*cols)
+    if materialize is not None:
+        merged = materialize(merged)
     return MergeResult(untouched.unionByName(merged), merged, dates)
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tallyhour.operators import allocation, delta, dq, explode, grouping, merge, pull, watermark
 from tallyhour.schemas import SSOT_COLUMNS
 from tallyhour.session import checkpoint_dir
+from tallyhour.sources.staging import stage_table
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,8 @@ class Options:
     bounding_mode: str = "bounded"                # H12: "equal" | "bounded"
     gam_hour: int | None = 17                     # B-11; None = no gate
     check_cardinality: bool = True                # I-07
-    materialize: bool = True                      # checkpoint the fact table after each merge
+    materialize: bool = True                      # stage merge sources and merged partitions
+    stage_format: str = "checkpoint"              # "checkpoint" (reliable, shared folder) | "parquet"
 
     @classmethod
     def parity(cls, **kw) -> Options:
@@ -73,13 +75,24 @@ class JobResult:
     detail: dict = field(default_factory=dict)     # every staged DataFrame / scalar of the run
 
 
-def _materialize(df: DataFrame, opts: Options) -> DataFrame:
+def _materialize(df: DataFrame, opts: Options, name: str = "stage") -> DataFrame:
+    """Stage ``df`` in the shared checkpoint folder (the Spark form of the reference's STG
+    tables): cuts lineage, survives executor loss and is computed once however often it is
+    read. ``checkpoint`` is a reliable checkpoint (one write job, cheapest for small staged
+    data); ``parquet`` writes a table whose re-read keeps statistics, pushdown and pruning."""
     if not opts.materialize:
         return df
+    if opts.stage_format == "parquet":
+        return stage_table(df, name)
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _merge(ssot: DataFrame, source: DataFrame, spec, opts: Options, dates=None):
+    return merge.merge_into(ssot, source, spec, dates=dates, check_cardinality=opts.check_cardinality,
+                            materialize=lambda d: _materialize(d, opts))
+
+
 # --- L-01 ------------------------------------------------------------------
 
 def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Options) -> dict:
@@ -101,15 +114,15 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
         pulled = pull.pull_events(inputs["events_stream"], None, span=None)
     else:
         pulled = pull.pull_events(inputs["events_stream"], wm_used, span=span, bounds=bounds)
-    grouped = grouping.group_events(pulled, inputs["dim_line_items_mapping"])
+    grouped = _materialize(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), opts)
     return {"watermark": wm, "pulled": pulled, "grouped": grouped}
 
 
 def run_events(inputs, ssot: DataFrame, opts: Options) -> JobResult:
     st = events_staged(inputs, ssot, opts)
     spec = merge.events_spec(opts.run_ts, null_mode=opts.null_mode, owner_actual=opts.owner_actual)
-    res = merge.merge_into(ssot, st["grouped"], spec, check_cardinality=opts.check_cardinality)
-    return JobResult(_materialize(res.table, opts), True, {"grouped": st["grouped"]},
+    res = _merge(ssot, st["grouped"], spec, opts)
+    return JobResult(res.table, True, {"grouped": st["grouped"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
 
@@ -121,6 +134,8 @@ def ssp_staged(inputs, ssot, opts: Options) -> dict:
                                  where=F.col("site_type").isin(*watermark.SSP_SITE_TYPES))
     pulled = pull.pull_ssp(inputs["fact_ssp_report"], wm)
     exploded = explode.ssp_explode(pulled, inputs["dim_country_mapping"], remainder=opts.explode_remainder)
+    if has:
+        exploded = _materialize(exploded, opts)
     return {"watermark": wm, "has_new_data": has, "pulled": pulled, "exploded": exploded}
 
 
@@ -130,8 +145,8 @@ def run_ssp(inputs, ssot, opts: Options) -> JobResult:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.ssp_spec(opts.run_ts, st["watermark"], null_mode=opts.null_mode,
                           watermark_on_insert=opts.watermark_on_insert)
-    res = merge.merge_into(ssot, st["exploded"], spec, check_cardinality=opts.check_cardinality)
-    return JobResult(_materialize(res.table, opts), True, {"exploded": st["exploded"]},
+    res = _merge(ssot, st["exploded"], spec, opts)
+    return JobResult(res.table, True, {"exploded": st["exploded"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
 
@@ -140,6 +155,8 @@ def syndication_staged(inputs, ssot, opts: Options) -> dict:
     has = watermark.has_new_data(inputs["fact_syndication_revenue"], "transaction_date", wm)
     pulled = pull.pull_syndication(inputs["fact_syndication_revenue"], wm)
     exploded = explode.syndication_explode(pulled, remainder=opts.explode_remainder)
+    if has:
+        exploded = _materialize(exploded, opts)
     return {"watermark": wm, "has_new_data": has, "pulled": pulled, "exploded": exploded}
 
 
@@ -149,8 +166,8 @@ def run_syndication(inputs, ssot, opts: Options) -> JobResult:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.syndication_spec(opts.run_ts, st["watermark"], null_mode=opts.null_mode,
                                   watermark_on_insert=opts.watermark_on_insert)
-    res = merge.merge_into(ssot, st["exploded"], spec, check_cardinality=opts.check_cardinality)
-    return JobResult(_materialize(res.table, opts), True, {"exploded": st["exploded"]},
+    res = _merge(ssot, st["exploded"], spec, opts)
+    return JobResult(res.table, True, {"exploded": st["exploded"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
 
@@ -170,10 +187,10 @@ def demand_partner_staged(inputs, ssot, opts: Options) -> dict:
     if not dates:
         return {"watermark": wm, "dates": []}
     pulled = pull.pull_date(reports, dates)
-    grouped = grouping.group_demand_partner(pulled)
+    grouped = _materialize(grouping.group_demand_partner(pulled), opts)
     slice_df = allocation.ssot_slice(ssot, dates, exclude_networks=DP_EXCLUDED_NETWORKS)
-    allocated = allocation.demand_partner_allocation(grouped, slice_df, inputs["dim_ad_unit_mapping"],
-                                                     mode=opts.dp_allocation)
+    allocated = _materialize(allocation.demand_partner_allocation(grouped, slice_df, inputs["dim_ad_unit_mapping"],
+                                                                  mode=opts.dp_allocation), opts)
     return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,
             "allocated": allocated}
 
@@ -183,9 +200,8 @@ def run_demand_partner(inputs, ssot, opts: Options) -> JobResult:
     if not st["dates"]:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.demand_partner_spec(opts.run_ts, null_mode=opts.null_mode)
-    res = merge.merge_into(ssot, st["allocated"], spec, dates=st["dates"],
-                           check_cardinality=opts.check_cardinality)
-    return JobResult(_materialize(res.table, opts), True,
+    res = _merge(ssot, st["allocated"], spec, opts, dates=st["dates"])
+    return JobResult(res.table, True,
                      {"grouped": st["grouped"], "allocated": st["allocated"]},
                      {"watermark": st["watermark"], "dates": st["dates"]}, res.merged, res.dates, st)
 
@@ -196,11 +212,12 @@ def gam_staged(inputs, ssot, opts: Options) -> dict:
     gam = inputs["fact_gam_data_transfer"]
     wm = watermark.watermark_value(ssot, "gam")
     pulled = pull.pull_next_day(gam, wm, opts.today_date, catch_up=opts.catch_up)
-    dates = sorted(r[0] for r in pulled.select(F.to_date("timestamp").alias("d")).distinct().collect())
-    grouped = grouping.group_gam(pulled, inputs["dim_country_mapping"])
+    grouped = _materialize(grouping.group_gam(pulled, inputs["dim_country_mapping"]), opts)
+    # pulled days = days of the (small, staged) hourly totals
+    dates = sorted(r[0] for r in grouped.select("event_date").distinct().collect() if r[0] is not None)
     slice_df = allocation.ssot_slice(ssot, dates, networks=["GAM"])
-    allocated = allocation.gam_allocation(slice_df, grouped, inputs["dim_ad_unit_mapping"],
-                                          null_mode=opts.null_mode)
+    allocated = _materialize(allocation.gam_allocation(slice_df, grouped, inputs["dim_ad_unit_mapping"],
+                                                       null_mode=opts.null_mode), opts)
     return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,
             "allocated": allocated}
 
@@ -212,8 +229,8 @@ def run_gam(inputs, ssot, opts: Options) -> JobResult:
     if not st["dates"]:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.gam_spec(opts.run_ts, st["watermark"], null_mode=opts.null_mode)
-    res = merge.merge_into(ssot, st["allocated"], spec, check_cardinality=opts.check_cardinality)
-    return JobResult(_materialize(res.table, opts), True,
+    res = _merge(ssot, st["allocated"], spec, opts, dates=st["dates"])
+    return JobResult(res.table, True,
                      {"grouped": st["grouped"], "allocated": st["allocated"]},
                      {"watermark": st["watermark"], "dates": st["dates"]}, res.merged, res.dates, st)
 
@@ -271,14 +288,14 @@ def run_all(spark: SparkSession, inputs: Mapping[str, DataFrame], ssot_path: str
         results[name] = r
         if r.ran:
             # staged results read the fact table; pin them before its files change
-            r.staged = {k: v.checkpoint(eager=True) for k, v in r.staged.items()}
+            r.staged = {k: stage_table(v, k) for k, v in r.staged.items()}
         if r.ran and r.merged is not None:
             # cut lineage to the files about to be replaced, then rewrite the touched partitions
-            write_ssot_partitions(r.merged.checkpoint(eager=True), ssot_path)
+            write_ssot_partitions(stage_table(r.merged, "merged"), ssot_path)
     final = read_ssot(spark, ssot_path)
     staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
     report = dq.run_checks(final, staged, null_mode=opts.null_mode, bounding_mode=opts.bounding_mode)
-    report = report.checkpoint(eager=True)
+    report = stage_table(report, "dq_report")
     if raise_on_blocking:
         failed = [r["name"] for r in report.where(F.col("status") == "FAIL").collect()]
         if failed:

@@ -34,6 +34,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     and call :func:`configure`."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():

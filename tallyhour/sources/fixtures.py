@@ -16,6 +16,7 @@ The three dimensions are small fixed lookup tables.
 from __future__ import annotations
 
 import os
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,11 @@ def _case(key: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(F.lit(default).cast("string") if default is None else F.lit(default))
 
 
+def _money_total(col: str, factor: str) -> Column:
+    """``round(sum(col) * factor, 2)`` summed exactly in decimal (order-independent)."""
+    return F.round(F.sum(F.col(col).cast("decimal(18,2)")) * F.lit(Decimal(factor)), 2).cast("double")
+
+
 def _base_date(days: Column) -> Column:
     return F.date_add(F.lit(BASE_DAY).cast("date"), days.cast("int"))
 
@@ -131,7 +137,7 @@ def fact_ssp_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (keyed.groupBy("report_date", "publisher_id", "placement_type", "site_type", "country_code")
             .agg((F.count(F.lit(1)) * 37).cast("bigint").alias("impressions"),
-                 F.round(F.sum("o_totalprice") / 1000, 2).alias("revenue_usd")))
+                 _money_total("o_totalprice", "0.001").alias("revenue_usd")))
 
 
 def fact_syndication_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +150,7 @@ def fact_syndication_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (keyed.groupBy("transaction_date", "content_property", "partner_name")
             .agg((F.count(F.lit(1)) * 7).cast("bigint").alias("article_count"),
-                 F.round(F.sum("o_totalprice") / 500, 2).alias("total_revenue")))
+                 _money_total("o_totalprice", "0.002").alias("total_revenue")))
 
 
 def dimension(spark: SparkSession, name: str) -> DataFrame:

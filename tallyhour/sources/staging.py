@@ -39,6 +39,19 @@ def write_staging(df: DataFrame, path: str, *, partition_cols: Sequence[str] = (
     return df.sparkSession.read.parquet(path)
 
 
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    One write job (a reliable RDD checkpoint would compute its input twice),
+    lineage is cut, the files survive executor loss, and the re-read keeps
+    parquet statistics, filter pushdown and column pruning for later stages.
+    """
+    from tallyhour.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 SSOT_CLUSTER = ["event_hour", "organization_id", "network", "event", "country"]
 
 

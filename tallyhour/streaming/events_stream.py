@@ -19,7 +19,7 @@ from tallyhour.functions.exprs import hour_of
 from tallyhour.operators import grouping, merge, pull
 from tallyhour.schemas import EVENTS_STREAM_SCHEMA
 from tallyhour.session import scratch_path
-from tallyhour.sources.staging import init_ssot, read_ssot, write_ssot_partitions
+from tallyhour.sources.staging import init_ssot, read_ssot, stage_table, write_ssot_partitions
 
 
 def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, ssot_path: str, run_ts,
@@ -39,7 +39,7 @@ def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, sso
         spec = merge.events_spec(run_ts, null_mode=null_mode, owner_actual=owner_actual)
         res = merge.merge_into(target, grouped, spec)
         if res.merged is not None:
-            write_ssot_partitions(res.merged.checkpoint(eager=True), ssot_path)
+            write_ssot_partitions(stage_table(res.merged, "merged"), ssot_path)
     return handle
 
 
