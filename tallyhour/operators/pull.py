@@ -48,10 +48,23 @@ def events_window(wm: _dt.datetime | None, span: _dt.timedelta | None = EVENTS_S
     return cond
 
 
+def _day_prune(wm, span, partition_col: str | None):
+    """Redundant predicate on a raw table's day-partition column (e.g. ``event_day``), so
+    a table partitioned by a derived day is pruned by directory, not only by row group."""
+    if partition_col is None or wm is None:
+        return F.lit(True)
+    c = F.col(partition_col) >= date_lit(_as_date(wm))
+    if span is not None:
+        c = c & (F.col(partition_col) <= date_lit(_as_date(wm + span)))
+    return c
+
+
 def pull_events(events: DataFrame, wm: _dt.datetime | None = None, *,
-                span: _dt.timedelta | None = EVENTS_SPAN, bounds: str = "half_open") -> DataFrame:
+                span: _dt.timedelta | None = EVENTS_SPAN, bounds: str = "half_open",
+                partition_col: str | None = None) -> DataFrame:
     """C-01: slice the raw event table and derive the pipeline columns."""
-    return events.where(events_window(wm, span, bounds)).select(
+    cond = events_window(wm, span, bounds) & _day_prune(wm, span, partition_col)
+    return events.where(cond).select(
         utc_date("timestamp").alias("event_date"),
         hour_of("timestamp").alias("event_hour"),
         F.col("timestamp"),
@@ -84,13 +97,19 @@ def gam_days(wm, today, *, catch_up: bool = False):
     return cond
 
 
-def pull_next_day(gam: DataFrame, wm, today, *, catch_up: bool = False) -> DataFrame:
+def pull_next_day(gam: DataFrame, wm, today, *, catch_up: bool = False,
+                  partition_col: str | None = None) -> DataFrame:
     """C-02: GAM rows of the next complete day after the watermark (or all later complete days).
 
-    The bound is also stated on the raw timestamp so the scan can skip row groups.
+    The bound is also stated on the raw timestamp so the scan can skip row groups,
+    and on ``partition_col`` (a day-partition column) when the table has one.
     """
-    lo = ts_lit(_dt.datetime.combine(_as_date(wm) + _dt.timedelta(days=1), _dt.time()))
+    nxt = _as_date(wm) + _dt.timedelta(days=1)
+    lo = ts_lit(_dt.datetime.combine(nxt, _dt.time()))
     cond = (F.col("timestamp") >= lo) & gam_days(wm, today, catch_up=catch_up)
+    if partition_col is not None:
+        p = F.col(partition_col)
+        cond = cond & ((p >= date_lit(nxt)) if catch_up else (p == date_lit(nxt)))
     return gam.where(cond).select("timestamp", "session_id", "ad_unit_id", "line_item_id",
                                   "country_name", "impressions", "cpm_usd")
 

@@ -37,6 +37,7 @@ class Options:
     events_span: _dt.timedelta | None = pull.EVENTS_SPAN
     catch_up: bool = False                        # pull every pending day, not one step (H5/H6/H8)
     bootstrap_from_source: bool = True            # H5: empty history starts at the source minimum
+    skip_gaps: bool = True                        # H6: an empty window/day advances to the next source data
     watermark_on_insert: bool = True              # H3
     explode_remainder: str = "per_grain"          # H4: "per_grain" | "first_row"
     dp_allocation: str = "per_path"               # H9: "per_path" | "per_row"
@@ -45,12 +46,15 @@ class Options:
     bounding_mode: str = "bounded"                # H12: "equal" | "bounded"
     gam_hour: int | None = 17                     # B-11; None = no gate
     check_cardinality: bool = True                # I-07
+    dq_scope: str = "full"                        # "full" (reference) | "touched": fact checks on touched dates
+    events_partition_col: str | None = None       # day-partition column of the raw events table, if any
+    gam_partition_col: str | None = None          # day-partition column of the GAM table, if any
     materialize: bool = True                      # stage merge sources and merged partitions
     stage_format: str = "checkpoint"              # "checkpoint" (reliable, shared folder) | "parquet"
 
     @classmethod
     def parity(cls, **kw) -> Options:
-        base = dict(null_mode="sentinel", events_bounds="exclusive", bootstrap_from_source=False,
+        base = dict(null_mode="sentinel", events_bounds="exclusive", bootstrap_from_source=False, skip_gaps=False,
                     watermark_on_insert=False, explode_remainder="first_row", dp_allocation="per_row",
                     owner_actual="replace", lookback_days=0, bounding_mode="equal")
         base.update(kw)
@@ -110,10 +114,20 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
         wm_used, bounds = wm, opts.events_bounds
     if opts.catch_up:
         span = None
+    if opts.skip_gaps and span is not None and wm_used is not None:
+        # H6: if nothing arrived inside the window, stretch it to the first event after the watermark
+        ts = F.col("timestamp")
+        after = ts > F.lit(wm_used) if bounds == "exclusive" else ts >= F.lit(wm_used)
+        nxt = inputs["events_stream"].where(after).agg(F.min("timestamp")).first()[0]
+        if nxt is not None:
+            start = nxt.replace(minute=0, second=0, microsecond=0)
+            if start > wm_used:
+                span = (start - wm_used) + span
     if wm_used is None:
         pulled = pull.pull_events(inputs["events_stream"], None, span=None)
     else:
-        pulled = pull.pull_events(inputs["events_stream"], wm_used, span=span, bounds=bounds)
+        pulled = pull.pull_events(inputs["events_stream"], wm_used, span=span, bounds=bounds,
+                                  partition_col=opts.events_partition_col)
     grouped = _materialize(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), opts)
     return {"watermark": wm, "pulled": pulled, "grouped": grouped}
 
@@ -211,7 +225,15 @@ def run_demand_partner(inputs, ssot, opts: Options) -> JobResult:
 def gam_staged(inputs, ssot, opts: Options) -> dict:
     gam = inputs["fact_gam_data_transfer"]
     wm = watermark.watermark_value(ssot, "gam")
-    pulled = pull.pull_next_day(gam, wm, opts.today_date, catch_up=opts.catch_up)
+    day_wm = wm
+    if opts.skip_gaps and not opts.catch_up:
+        # H6: a day without GAM rows would stall the one-day step; jump to the next day with data
+        nxt = gam.where(pull.gam_days(wm, opts.today_date, catch_up=True)).agg(
+            F.min(F.to_date("timestamp"))).first()[0]
+        if nxt is not None:
+            day_wm = nxt - _dt.timedelta(days=1)
+    pulled = pull.pull_next_day(gam, day_wm, opts.today_date, catch_up=opts.catch_up,
+                                partition_col=opts.gam_partition_col)
     grouped = _materialize(grouping.group_gam(pulled, inputs["dim_country_mapping"]), opts)
     # pulled days = days of the (small, staged) hourly totals
     dates = sorted(r[0] for r in grouped.select("event_date").distinct().collect() if r[0] is not None)
@@ -294,7 +316,9 @@ def run_all(spark: SparkSession, inputs: Mapping[str, DataFrame], ssot_path: str
             write_ssot_partitions(stage_table(r.merged, "merged"), ssot_path)
     final = read_ssot(spark, ssot_path)
     staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
-    report = dq.run_checks(final, staged, null_mode=opts.null_mode, bounding_mode=opts.bounding_mode)
+    touched = sorted({d for r in results.values() for d in (r.dates or [])})
+    report = dq.run_checks(final, staged, null_mode=opts.null_mode, bounding_mode=opts.bounding_mode,
+                           dates=touched if opts.dq_scope == "touched" else None)
     report = stage_table(report, "dq_report")
     if raise_on_blocking:
         failed = [r["name"] for r in report.where(F.col("status") == "FAIL").collect()]

@@ -85,3 +85,24 @@ def test_available_now_stream_equals_batch(spark, inputs):
     streamed = run_available_now(spark, inputs, run_ts=run_ts, files=6, max_files_per_trigger=1)
     batch = consolidate(inputs, empty_ssot(spark), scenario_options("parity"), sources=("events_stream",)).ssot
     assert _rows(streamed) == _rows(batch)
+
+
+def test_gap_skipping(spark):
+    from tallyhour.schemas import EVENTS_STREAM_SCHEMA, GAM_SCHEMA
+    from tallyhour.plans.jobs import events_staged, gam_staged
+    from tallyhour.sources.fixtures import dimension
+    from conftest import fact, ssot_rows
+    ev = spark.createDataFrame([(dt.datetime(2024, 1, 20, 3), "served", "o", None, None, "GAM", None, None, None,
+                                 None, None, None, 1.0)], EVENTS_STREAM_SCHEMA)
+    gam = spark.createDataFrame([(dt.datetime(2024, 1, 20, 3), "s", "1000", "1", "France", 1, 1.0)], GAM_SCHEMA)
+    inp = {"events_stream": ev, "fact_gam_data_transfer": gam,
+           "dim_line_items_mapping": dimension(spark, "dim_line_items_mapping"),
+           "dim_country_mapping": dimension(spark, "dim_country_mapping"),
+           "dim_ad_unit_mapping": dimension(spark, "dim_ad_unit_mapping")}
+    ssot = ssot_rows(spark, [fact(network="GAM", max_events_stream_timestamp=dt.datetime(2024, 1, 1, 5),
+                                  max_gam_timestamp=dt.datetime(2024, 1, 1, 5))])
+    safe, code = Options(materialize=False), Options.parity(materialize=False)
+    assert events_staged(inp, ssot, safe)["grouped"].count() == 1
+    assert events_staged(inp, ssot, code)["grouped"].count() == 0          # reference stalls (H6)
+    assert gam_staged(inp, ssot, safe)["dates"] == [dt.date(2024, 1, 20)]
+    assert gam_staged(inp, ssot, code)["dates"] == []
