@@ -167,6 +167,17 @@ def _suite(mode):
     return q
 
 
+SECOND_RUN_TS = _dt.datetime(2024, 2, 2, 17, 0, 0)
+
+
+def _second_run(spark, sf):
+    """One more hourly run with the reference's single-step rules over the backfilled table."""
+    from tallyhour.plans.jobs import consolidate
+    b = _b(spark, sf)
+    opts = b.opts.with_(catch_up=False, run_ts=SECOND_RUN_TS)
+    return _r(consolidate(b.inputs, b.final, opts).ssot)
+
+
 def _retention(spark, sf):
     configure(spark)
     ev = derived_inputs(spark, sf)["events_stream"]
@@ -229,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_dp_bounding": _dq("dp"),
         "dq_suite": _suite("parity"),
         "dq_suite_safe": _suite("safe"),
+        "consolidated_second_run": _second_run,
         "raw_retention": _retention,
         "events_stream_available_now": _available_now,
     }

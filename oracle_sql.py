@@ -10,6 +10,8 @@ data, with run timestamp 2024-02-01 17:00:00.
 
 from __future__ import annotations
 
+import re
+
 GRAIN = ["event_date", "event_hour", "event", "organization_id", "adunit", "media_type", "network", "domain",
          "line_item", "advertiser", "ad_deal_type", "demand_owner", "country"]
 REQUIRED = ["event_date", "event_hour", "event", "organization_id"]
@@ -25,6 +27,8 @@ SSOT_TYPES = [
 SSOT_COLS = [c for c, _ in SSOT_TYPES]
 RUN_TS = "timestamp '2024-02-01 17:00:00'"
 TODAY = "date '2024-02-01'"
+RUN_TS2 = "timestamp '2024-02-02 17:00:00'"     # second hourly run (reference rules, one step per source)
+TODAY2 = "date '2024-02-02'"
 RETENTION_AS_OF = "date '2024-03-15'"
 RETENTION_DAYS = 60
 ROUND_DIGITS = 9
@@ -120,10 +124,10 @@ def merge_sql(target: str, source: str, mode: str, plain: list[str], update: dic
             f"(select *, true as _sp from {source}) s on {cond}")
 
 
-def _insert(cols: list[str]) -> dict:
+def _insert(cols: list[str], run_ts: str = RUN_TS) -> dict:
     d = {c: f"s.{c}" for c in cols}
-    d["dwh_created_at"] = RUN_TS
-    d["dwh_updated_at"] = RUN_TS
+    d["dwh_created_at"] = run_ts
+    d["dwh_updated_at"] = run_ts
     return d
 
 
@@ -132,9 +136,14 @@ def _typed_nulls(cols: list[str]) -> str:
     return ", ".join(f"cast(null as {types[c]}) as {c}" for c in cols)
 
 
-def pipeline_ctes(mode: str) -> dict[str, str]:
-    """Ordered CTEs of the whole pipeline for ``mode`` in {"parity", "safe"}."""
+def pipeline_ctes(mode: str, catch_up: bool = True, run_ts: str = RUN_TS, today: str = TODAY) -> dict[str, str]:
+    """Ordered CTEs of the whole pipeline for ``mode`` in {"parity", "safe"}.
+
+    ``catch_up`` processes every pending day; without it each source takes the
+    reference's single step (5-day events window, oldest partner date, next GAM day).
+    """
     parity = mode == "parity"
+    RUN_TS, TODAY = run_ts, today  # noqa: N806
     nm = "sentinel" if parity else "null_safe"
     c: dict[str, str] = dict(VIEWS)
     c["ssot0"] = f"select {_typed_nulls(SSOT_COLS)} where false"
@@ -142,7 +151,8 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
     # --- events (L-01): catch-up pull from the first run's watermark
     c["ev_wm"] = ("select coalesce(date_trunc('hour', max(max_events_stream_timestamp)), "
                   "timestamp '1970-01-01 00:00:00') as increment_column from ssot0")
-    ev_filter = ("timestamp > (select increment_column from ev_wm)" if parity else
+    ev_filter = ("timestamp > (select increment_column from ev_wm)" + (
+        "" if catch_up else " and timestamp <= (select increment_column from ev_wm) + interval 5 day") if parity else
                  "(select max(max_events_stream_timestamp) from ssot0) is null or "
                  "timestamp >= (select increment_column from ev_wm)")
     c["ev_pull"] = f"""select cast(timestamp as date) as event_date, date_trunc('hour', timestamp) as event_hour, timestamp,
@@ -167,7 +177,7 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
                  "actual_revenue": actual, "max_events_stream_timestamp": "s.max_events_stream_timestamp",
                  "dwh_updated_at": RUN_TS}
     ev_insert = _insert(GRAIN + ["tracked_event_count", "actual_revenue", "estimated_revenue",
-                                 "max_events_stream_timestamp"])
+                                 "max_events_stream_timestamp"], RUN_TS)
     c["ssot1"] = merge_sql("ssot0", "ev_grouped", nm, REQUIRED, ev_update, ev_insert)
 
     # --- SSP (L-02)
@@ -189,8 +199,9 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
     daily_update = lambda wm: {"reconciled_event_count": "s.reconciled_event_count",
                                "actual_revenue": "s.actual_revenue", wm: f"s.{wm}", "dwh_updated_at": RUN_TS}
     daily_cols = GRAIN + ["tracked_event_count", "reconciled_event_count", "actual_revenue", "estimated_revenue"]
-    c["ssot2"] = merge_sql("ssot1", "ssp_exploded", nm, REQUIRED + ["network"], daily_update("max_ssp_date"),
-                           _insert(daily_cols + ([] if parity else ["max_ssp_date"])))
+    c["ssot2"] = merge_sql("ssot1", "(select * from ssp_exploded where (select has_new_data from ssp_new))", nm,
+                           REQUIRED + ["network"], daily_update("max_ssp_date"),
+                           _insert(daily_cols + ([] if parity else ["max_ssp_date"]), RUN_TS))
 
     # --- syndication (L-03)
     c["syn_wm"] = ("select coalesce(max(max_syndication_date), date '1970-01-01') as increment_column from ssot2 "
@@ -204,14 +215,16 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
     c["syn_exploded"] = _explode_sql("syn_pull", "article_count", "total_revenue", "max_syndication_date",
                                      ["event_date", "organization_id", "demand_owner"],
                                      {"demand_owner": "demand_owner"}, parity)
-    c["ssot3"] = merge_sql("ssot2", "syn_exploded", nm, REQUIRED + ["network"], daily_update("max_syndication_date"),
-                           _insert(daily_cols + ([] if parity else ["max_syndication_date"])))
+    c["ssot3"] = merge_sql("ssot2", "(select * from syn_exploded where (select has_new_data from syn_new))", nm,
+                           REQUIRED + ["network"], daily_update("max_syndication_date"),
+                           _insert(daily_cols + ([] if parity else ["max_syndication_date"]), RUN_TS))
 
     # --- demand partner (L-04): every unprocessed date
     lookback = 0 if parity else 7
     c["dp_wm"] = ("select coalesce(max(max_demand_partner_date), date '1970-01-01') as increment_column from ssot3")
     c.update(_delta_ctes("dp", "ssot3", lookback))
-    c["dp_dates"] = "select distinct report_date from dp_unprocessed"
+    c["dp_dates"] = ("select distinct report_date from dp_unprocessed" if catch_up else
+                     "select min(report_date) as report_date from dp_unprocessed having min(report_date) is not null")
     c["dp_pull"] = """select report_date, partner_name, property_code, ad_unit, geo, impressions, revenue_usd,
  report_date as max_demand_partner_date from fact_demand_partner_reports
  where report_date in (select report_date from dp_dates)"""
@@ -236,7 +249,7 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
                    "from ssot4")
     c["gam_pull"] = f"""select timestamp, session_id, ad_unit_id, line_item_id, country_name, impressions, cpm_usd
  from fact_gam_data_transfer
- where cast(timestamp as date) >= cast((select increment_column from gam_wm) as date) + 1
+ where cast(timestamp as date) {'>=' if catch_up else '='} cast((select increment_column from gam_wm) as date) + 1
  and cast(timestamp as date) < {TODAY}"""
     c["gam_grouped"] = """select cast(g.timestamp as date) as event_date, date_trunc('hour', g.timestamp) as event_hour,
  g.ad_unit_id, g.line_item_id as line_item, coalesce(m.country_code, g.country_name) as country,
@@ -267,6 +280,8 @@ def pipeline_ctes(mode: str) -> dict[str, str]:
                            target_cond="t.network = 'GAM'")
     c["ssot_rerun"] = merge_sql("ssot5", "ev_grouped", nm, REQUIRED, ev_update, ev_insert)
 
+    if not catch_up:
+        return c
     # --- data quality (J-01..J-08) on the final table
     c.update(_dq_ctes(nm, "equal" if parity else "bounded"))
     return c
@@ -464,15 +479,31 @@ _QUERIES = {
     "dq_dp_bounding": ("parity", "select * from dq_dp_bound", ["expected_value", "actual_value"]),
     "dq_suite": ("parity", "select * from dq_suite", []),
     "dq_suite_safe": ("safe", "select * from dq_suite", []),
+    "consolidated_second_run": ("second", "select * from r2_ssot5", _SSOT_D),
     "raw_retention": ("parity", f"select * from events_stream where cast(timestamp as date) >= "
                                 f"{RETENTION_AS_OF} - {RETENTION_DAYS}", ["cpm"]),
     "events_stream_available_now": ("parity", "select * from ssot1", _SSOT_D),
 }
 
 
+def second_run_ctes() -> dict[str, str]:
+    """The parity backfill followed by one reference-rule hourly run over its result."""
+    first = pipeline_ctes("parity")
+    step = pipeline_ctes("parity", catch_up=False, run_ts=RUN_TS2, today=TODAY2)
+    names = [k for k in step if k not in VIEWS and k != "ssot0"]
+    pat = re.compile(r"\b(" + "|".join(sorted(names, key=len, reverse=True)) + r"|ssot0)\b")
+
+    def ren(m):
+        return "ssot5" if m.group(1) == "ssot0" else "r2_" + m.group(1)
+    out = dict(first)
+    for k in names:
+        out["r2_" + k] = pat.sub(ren, step[k])
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     out = {}
-    ctes = {"parity": pipeline_ctes("parity"), "safe": pipeline_ctes("safe")}
+    ctes = {"parity": pipeline_ctes("parity"), "safe": pipeline_ctes("safe"), "second": second_run_ctes()}
     for name, (scenario, final, doubles) in _QUERIES.items():
         c = dict(ctes[scenario])
         if name == "dp_smart_delta_after":

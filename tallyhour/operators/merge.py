@@ -115,12 +115,15 @@ def check_single_match(touched: DataFrame, src: DataFrame, spec: MergeSpec) -> N
 
 def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
                dates: Iterable | None = None, check_cardinality: bool = True,
-               materialize: Callable[[DataFrame], DataFrame] | None = None) -> MergeResult:
+               materialize: Callable[[DataFrame], DataFrame] | None = None,
+               materialize_scope: str = "merged") -> MergeResult:
     """Merge ``source`` into ``target`` (both DataFrames); returns the new target.
 
     ``source`` should be materialised (a staged table): its dates, the
     cardinality check and the join all read it. ``materialize`` (e.g. a
-    checkpoint) is applied to the merged touched partitions only; the new
+    checkpoint) is applied to the merged touched partitions (``merged``: what a
+    partition-level writer needs) or to the whole new table (``table``: keeps an
+    in-memory table compact, one piece instead of a growing union); the new
     target is ``untouched UNION merged``.
     """
     dc = spec.date_col
@@ -151,6 +154,9 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
             e = F.when(source_only, ins).otherwise(e)
         cols.append(e.cast(target.schema[c].dataType).alias(c))
     merged = j.select(*cols)
+    if materialize is not None and materialize_scope == "table":
+        table = materialize(untouched.unionByName(merged))
+        return MergeResult(table, table.where(in_touched), dates)
     if materialize is not None:
         merged = materialize(merged)
     return MergeResult(untouched.unionByName(merged), merged, dates)

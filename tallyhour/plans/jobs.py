@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tallyhour.operators import allocation, delta, dq, explode, grouping, merge, pull, watermark
 from tallyhour.schemas import SSOT_COLUMNS
 from tallyhour.session import checkpoint_dir
-from tallyhour.sources.staging import stage_table
+from tallyhour.sources.staging import STAGING_LAYOUT, stage_table, write_named_staging
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,8 @@ class Options:
     gam_partition_col: str | None = None          # day-partition column of the GAM table, if any
     materialize: bool = True                      # stage merge sources and merged partitions
     stage_format: str = "checkpoint"              # "checkpoint" (reliable, shared folder) | "parquet"
+    staging_dir: str | None = None                # if set, named stages are written there with their layout
+    compact: bool = True                          # in-memory runs: materialise the whole table after a merge
 
     @classmethod
     def parity(cls, **kw) -> Options:
@@ -86,6 +88,8 @@ def _materialize(df: DataFrame, opts: Options, name: str = "stage") -> DataFrame
     data); ``parquet`` writes a table whose re-read keeps statistics, pushdown and pruning."""
     if not opts.materialize:
         return df
+    if opts.staging_dir and name in STAGING_LAYOUT:
+        return write_named_staging(df, opts.staging_dir, name)
     if opts.stage_format == "parquet":
         return stage_table(df, name)
     checkpoint_dir(df.sparkSession)
@@ -94,7 +98,8 @@ def _materialize(df: DataFrame, opts: Options, name: str = "stage") -> DataFrame
 
 def _merge(ssot: DataFrame, source: DataFrame, spec, opts: Options, dates=None):
     return merge.merge_into(ssot, source, spec, dates=dates, check_cardinality=opts.check_cardinality,
-                            materialize=lambda d: _materialize(d, opts))
+                            materialize=lambda d: _materialize(d, opts),
+                            materialize_scope="table" if opts.compact else "merged")
 
 
 # --- L-01 ------------------------------------------------------------------
@@ -128,7 +133,8 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
     else:
         pulled = pull.pull_events(inputs["events_stream"], wm_used, span=span, bounds=bounds,
                                   partition_col=opts.events_partition_col)
-    grouped = _materialize(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), opts)
+    grouped = _materialize(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), opts,
+                           "events_stream_grouping")
     return {"watermark": wm, "pulled": pulled, "grouped": grouped}
 
 
@@ -149,7 +155,7 @@ def ssp_staged(inputs, ssot, opts: Options) -> dict:
     pulled = pull.pull_ssp(inputs["fact_ssp_report"], wm)
     exploded = explode.ssp_explode(pulled, inputs["dim_country_mapping"], remainder=opts.explode_remainder)
     if has:
-        exploded = _materialize(exploded, opts)
+        exploded = _materialize(exploded, opts, "ssp_explode_data")
     return {"watermark": wm, "has_new_data": has, "pulled": pulled, "exploded": exploded}
 
 
@@ -170,7 +176,7 @@ def syndication_staged(inputs, ssot, opts: Options) -> dict:
     pulled = pull.pull_syndication(inputs["fact_syndication_revenue"], wm)
     exploded = explode.syndication_explode(pulled, remainder=opts.explode_remainder)
     if has:
-        exploded = _materialize(exploded, opts)
+        exploded = _materialize(exploded, opts, "syndication_explode_data")
     return {"watermark": wm, "has_new_data": has, "pulled": pulled, "exploded": exploded}
 
 
@@ -201,10 +207,11 @@ def demand_partner_staged(inputs, ssot, opts: Options) -> dict:
     if not dates:
         return {"watermark": wm, "dates": []}
     pulled = pull.pull_date(reports, dates)
-    grouped = _materialize(grouping.group_demand_partner(pulled), opts)
+    grouped = _materialize(grouping.group_demand_partner(pulled), opts, "demand_partner_grouping")
     slice_df = allocation.ssot_slice(ssot, dates, exclude_networks=DP_EXCLUDED_NETWORKS)
     allocated = _materialize(allocation.demand_partner_allocation(grouped, slice_df, inputs["dim_ad_unit_mapping"],
-                                                                  mode=opts.dp_allocation), opts)
+                                                                  mode=opts.dp_allocation), opts,
+                             "demand_partner_allocation")
     return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,
             "allocated": allocated}
 
@@ -234,12 +241,12 @@ def gam_staged(inputs, ssot, opts: Options) -> dict:
             day_wm = nxt - _dt.timedelta(days=1)
     pulled = pull.pull_next_day(gam, day_wm, opts.today_date, catch_up=opts.catch_up,
                                 partition_col=opts.gam_partition_col)
-    grouped = _materialize(grouping.group_gam(pulled, inputs["dim_country_mapping"]), opts)
+    grouped = _materialize(grouping.group_gam(pulled, inputs["dim_country_mapping"]), opts, "GAM_grouping")
     # pulled days = days of the (small, staged) hourly totals
     dates = sorted(r[0] for r in grouped.select("event_date").distinct().collect() if r[0] is not None)
     slice_df = allocation.ssot_slice(ssot, dates, networks=["GAM"])
     allocated = _materialize(allocation.gam_allocation(slice_df, grouped, inputs["dim_ad_unit_mapping"],
-                                                       null_mode=opts.null_mode), opts)
+                                                       null_mode=opts.null_mode), opts, "GAM_allocation")
     return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,
             "allocated": allocated}
 
@@ -306,14 +313,16 @@ def run_all(spark: SparkSession, inputs: Mapping[str, DataFrame], ssot_path: str
         if name not in sources:
             continue
         cur = read_ssot(spark, ssot_path)
-        r = RUNNERS[name](inputs, cur, opts.with_(materialize=False))
+        r = RUNNERS[name](inputs, cur, opts.with_(materialize=bool(opts.staging_dir), compact=False))
         results[name] = r
-        if r.ran:
+        if r.ran and not opts.staging_dir:
             # staged results read the fact table; pin them before its files change
             r.staged = {k: stage_table(v, k) for k, v in r.staged.items()}
         if r.ran and r.merged is not None:
-            # cut lineage to the files about to be replaced, then rewrite the touched partitions
-            write_ssot_partitions(stage_table(r.merged, "merged"), ssot_path)
+            # cut lineage to the files about to be replaced (already done when stages are
+            # materialised), then rewrite the touched partitions
+            merged = r.merged if opts.staging_dir else stage_table(r.merged, "merged")
+            write_ssot_partitions(merged, ssot_path)
     final = read_ssot(spark, ssot_path)
     staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
     touched = sorted({d for r in results.values() for d in (r.dates or [])})

@@ -21,6 +21,18 @@ def _layout(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence
     return df
 
 
+# Staging-table layouts (partition column, cluster columns) of the pipeline stages.
+STAGING_LAYOUT = {
+    "events_stream_grouping": ("event_date", ["event_hour", "event", "organization_id", "adunit"]),
+    "ssp_explode_data": ("event_date", ["event_hour", "event", "organization_id", "network"]),
+    "syndication_explode_data": ("event_date", ["event_hour", "event", "organization_id", "network"]),
+    "demand_partner_grouping": ("event_date", ["organization_id", "country", "adunit"]),
+    "demand_partner_allocation": ("event_date", ["event_hour", "event", "organization_id", "country"]),
+    "GAM_grouping": ("event_date", ["event_hour", "ad_unit_id", "line_item", "country"]),
+    "GAM_allocation": ("event_date", ["event_hour", "event", "organization_id", "line_item"]),
+}
+
+
 def write_staging(df: DataFrame, path: str, *, partition_cols: Sequence[str] = (),
                   cluster_cols: Sequence[str] = (), partition_expr: dict | None = None) -> DataFrame:
     """K-01..K-04: replace a staging table (``CREATE OR REPLACE ... PARTITION BY ... CLUSTER BY``).
@@ -36,7 +48,15 @@ def write_staging(df: DataFrame, path: str, *, partition_cols: Sequence[str] = (
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def write_named_staging(df: DataFrame, staging_dir: str, name: str) -> DataFrame:
+    """K-01/K-02: replace staging table ``name`` under ``staging_dir`` with its declared layout."""
+    import os
+    part, cluster = STAGING_LAYOUT.get(name, (None, []))
+    return write_staging(df, os.path.join(staging_dir, name), partition_cols=[part] if part else [],
+                         cluster_cols=cluster)
 
 
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:

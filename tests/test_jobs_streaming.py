@@ -106,3 +106,16 @@ def test_gap_skipping(spark):
     assert events_staged(inp, ssot, code)["grouped"].count() == 0          # reference stalls (H6)
     assert gam_staged(inp, ssot, safe)["dates"] == [dt.date(2024, 1, 20)]
     assert gam_staged(inp, ssot, code)["dates"] == []
+
+
+def test_run_all_with_named_staging_tables(spark, inputs):
+    opts = scenario_options("parity")
+    root = tempfile.mkdtemp(prefix="tallyhour-stg-")
+    path, stg = os.path.join(root, "ssot"), os.path.join(root, "stg")
+    report = run_all(spark, inputs, path, opts.with_(staging_dir=stg))
+    assert {r["status"] for r in report.collect()} <= {"PASS", "WARN"}
+    names = set(os.listdir(stg))
+    assert {"events_stream_grouping", "ssp_explode_data", "GAM_allocation", "demand_partner_allocation"} <= names
+    assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(stg, "GAM_allocation")))
+    mem = consolidate(inputs, empty_ssot(spark), opts).ssot
+    assert _rows(read_ssot(spark, path)) == _rows(mem)
