@@ -20,7 +20,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyhour.operators import allocation, dq, explode, grouping, pull  # noqa: E402
+from tallyhour.operators import allocation, explode, grouping, pull  # noqa: E402
 from tallyhour.plans.backfill import scenario_options  # noqa: E402
 from tallyhour.plans.jobs import consolidate  # noqa: E402
 from tallyhour.session import build_session  # noqa: E402

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import NULL_SENTINEL
-from tallyhour.schemas import GRAIN, METRICS, REQUIRED_GRAIN
+from tallyhour.schemas import GRAIN, REQUIRED_GRAIN
 
 
 class BlockingCheckError(RuntimeError):

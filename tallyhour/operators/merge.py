@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import NULL_SENTINEL, ts_lit
-from tallyhour.schemas import GRAIN, REQUIRED_GRAIN, SSOT_COLUMNS
+from tallyhour.schemas import GRAIN, REQUIRED_GRAIN
 
 SRC = "_s_"
 
@@ -252,9 +252,3 @@ def gam_spec(run_ts, wm=None, *, null_mode: str = "null_safe") -> MergeSpec:
     return MergeSpec(update=update, insert=None, plain_keys=REQUIRED_GRAIN + ["network"], null_mode=null_mode,
                      target_condition=F.col("network") == F.lit("GAM"), prune=prune)
 
-
-def to_fact_columns(df: DataFrame) -> DataFrame:
-    return df.select(*SSOT_COLUMNS)
-
-
-MergeFn = Callable[..., MergeResult]
