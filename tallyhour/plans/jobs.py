@@ -30,7 +30,7 @@ from tallyhour.sources.staging import STAGING_LAYOUT, stage_table, write_named_s
 @dataclass(frozen=True)
 class Options:
     """Run options. Defaults are the hardened behaviour; :meth:`parity` reproduces the reference."""
-    run_ts: _dt.datetime = _dt.datetime(2024, 2, 1, 17, 0, 0)
+    run_ts: _dt.datetime = field(default_factory=lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     today: _dt.date | None = None                 # complete-day guard for GAM (default: run_ts date)
     null_mode: str = "null_safe"                  # H1/H13: "null_safe" | "sentinel"
     events_bounds: str = "half_open"              # H2: "half_open" | "exclusive"
@@ -313,16 +313,12 @@ def run_all(spark: SparkSession, inputs: Mapping[str, DataFrame], ssot_path: str
         if name not in sources:
             continue
         cur = read_ssot(spark, ssot_path)
-        r = RUNNERS[name](inputs, cur, opts.with_(materialize=bool(opts.staging_dir), compact=False))
+        # merge sources are staged once (checkpoint or named staging table) and the merged
+        # partitions are materialised, so nothing written below still reads the fact files
+        r = RUNNERS[name](inputs, cur, opts.with_(materialize=True, compact=False))
         results[name] = r
-        if r.ran and not opts.staging_dir:
-            # staged results read the fact table; pin them before its files change
-            r.staged = {k: stage_table(v, k) for k, v in r.staged.items()}
         if r.ran and r.merged is not None:
-            # cut lineage to the files about to be replaced (already done when stages are
-            # materialised), then rewrite the touched partitions
-            merged = r.merged if opts.staging_dir else stage_table(r.merged, "merged")
-            write_ssot_partitions(merged, ssot_path)
+            write_ssot_partitions(r.merged, ssot_path)
     final = read_ssot(spark, ssot_path)
     staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
     touched = sorted({d for r in results.values() for d in (r.dates or [])})
