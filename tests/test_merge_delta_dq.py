@@ -128,3 +128,23 @@ def test_conservation_and_bounding_modes(spark):
     ssot = ssot_rows(spark, [fact(network="GAM", actual_revenue=6.0, max_gam_timestamp=RUN_TS)])
     assert dq.check_gam_bounding(grouped, alloc, ssot, mode="equal").first()["passed"] is False
     assert dq.check_gam_bounding(grouped, alloc, ssot, mode="bounded").first()["passed"] is True
+
+
+def test_partner_lookback_picks_up_late_older_date(spark):
+    d5, d9 = dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+    reports = spark.createDataFrame([(d5, "B", "o", None, "us", 1, 1.0), (d9, "A", "o", None, "us", 1, 1.0)],
+                                    DEMAND_PARTNER_SCHEMA)
+    ssot = ssot_rows(spark, [fact(day=9, network="A", actual_revenue=1.0, max_demand_partner_date=d9)])
+    wm = d9   # global max of the processed dates
+    assert tuple(delta.oldest_unprocessed(reports, ssot, wm, lookback_days=0).first()) == (False, None)
+    assert tuple(delta.oldest_unprocessed(reports, ssot, wm, lookback_days=7).first()) == (True, d5)
+
+
+def test_owner_rule_replace_vs_coalesce(spark):
+    target = ssot_rows(spark, [fact(network="MinuteSSP", tracked_event_count=1, actual_revenue=9.0)])
+    src = _grouped(spark, [fact(network="MinuteSSP", tracked_event_count=2, actual_revenue=None,
+                                estimated_revenue=1.0)])
+    rep = merge.merge_into(target, src, merge.events_spec(RUN_TS, owner_actual="replace")).table.first()
+    coa = merge.merge_into(target, src, merge.events_spec(RUN_TS, owner_actual="coalesce")).table.first()
+    assert rep["actual_revenue"] is None and coa["actual_revenue"] == 9.0
+    assert rep["tracked_event_count"] == coa["tracked_event_count"] == 2
