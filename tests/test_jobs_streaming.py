@@ -119,3 +119,16 @@ def test_run_all_with_named_staging_tables(spark, inputs):
     assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(stg, "GAM_allocation")))
     mem = consolidate(inputs, empty_ssot(spark), opts).ssot
     assert _rows(read_ssot(spark, path)) == _rows(mem)
+
+
+def test_command_line_hourly_run(spark, inputs):
+    from tallyhour.__main__ import main
+    root = tempfile.mkdtemp(prefix="tallyhour-cli-")
+    for name, df in inputs.items():
+        df.write.parquet(os.path.join(root, "in", name))
+    ssot = os.path.join(root, "ssot")
+    rows = main(["--inputs", os.path.join(root, "in"), "--ssot", ssot, "--run-ts", "2024-02-01T17:00:00",
+                 "--catch-up", "--mode", "parity"], spark=spark)
+    assert [r["n"] for r in rows] == list(range(1, 8))
+    mem = consolidate(inputs, empty_ssot(spark), scenario_options("parity")).ssot
+    assert _rows(read_ssot(spark, ssot)) == _rows(mem)
