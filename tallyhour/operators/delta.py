@@ -27,11 +27,14 @@ def unprocessed_pairs(reports: DataFrame, ssot: DataFrame, wm, *, lookback_days:
     """
     lo = date_lit(_d(wm) - _dt.timedelta(days=lookback_days))
     arriving = reports.where(F.col("report_date") >= lo).select("report_date", "partner_name").distinct()
-    partners = arriving.select(F.col("partner_name").alias("_p")).distinct()
-    processed = (ssot.where((F.col("event_date") >= lo) & F.col("actual_revenue").isNotNull())
-                 .select("event_date", "network")
-                 .join(partners, F.col("network") == F.col("_p"), "left_semi")
-                 .distinct())
+    # Bounded by construction: partner names, and (day, network) pairs since the watermark,
+    # so both small sides are broadcast and the fact-table side is never shuffled.
+    partners = F.broadcast(arriving.select(F.col("partner_name").alias("_p")).distinct())
+    processed = F.broadcast(
+        ssot.where((F.col("event_date") >= lo) & F.col("actual_revenue").isNotNull())
+        .select("event_date", "network")
+        .join(partners, F.col("network") == F.col("_p"), "left_semi")
+        .distinct())
     cond = ((arriving["partner_name"] == processed["network"])
             & (arriving["report_date"] == processed["event_date"]))
     return arriving.join(processed, cond, "left_anti")

@@ -91,6 +91,19 @@ def _normalised_keys(spec: MergeSpec) -> list[Column]:
     return out
 
 
+def source_profile(src: DataFrame, spec: MergeSpec):
+    """One aggregate over the (prefixed) source: the largest number of source rows sharing a
+    merge key (rows whose plain keys are null can never match and are not counted) and the
+    distinct partition values (bounded by the number of days)."""
+    valid = F.lit(True)
+    if spec.null_mode != "null_safe":
+        for k in spec.plain_keys:
+            valid = valid & F.col("_nk_" + k).isNotNull()
+    per_key = src.groupBy(*_normalised_keys(spec)).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.max(F.when(valid, F.col("_n"))).alias("max_dup"),
+                       F.collect_set("_nk_" + spec.date_col).alias("dates")).first()
+
+
 def check_single_match(touched: DataFrame, src: DataFrame, spec: MergeSpec) -> None:
     """I-07: raise if some target row would be matched by two or more source rows.
 
@@ -127,8 +140,13 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
     target is ``untouched UNION merged``.
     """
     dc = spec.date_col
-    if dates is None:
-        dates = [r[0] for r in source.select(dc).distinct().collect()]
+    src = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(SRC + "present"))
+    max_dup = None
+    if dates is None or check_cardinality:
+        prof = source_profile(src, spec)
+        max_dup = prof["max_dup"]
+        if dates is None:
+            dates = prof["dates"]
     dates = sorted(d for d in dates if d is not None)
     if not dates:
         return MergeResult(target, None, [])
@@ -136,8 +154,7 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
     touched_cond = in_touched if spec.prune is None else in_touched & spec.prune
     touched = target.where(touched_cond)
     untouched = target.where(~F.coalesce(touched_cond, F.lit(False)))
-    src = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(SRC + "present"))
-    if check_cardinality:
+    if check_cardinality and (max_dup or 0) > 1:
         check_single_match(touched, src, spec)
     t = touched.withColumn("_t_present", F.lit(True))
     how = "full_outer" if spec.insert is not None else "left"
