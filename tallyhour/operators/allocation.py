@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import allocate_count, allocate_revenue, null_safe_eq, proportional_weight
+from tallyhour.operators.grouping import exact_money_sum
 from tallyhour.operators.mapping import map_gam_ad_unit, map_partner_ad_unit
 from tallyhour.schemas import GRAIN
 
@@ -149,7 +150,7 @@ def demand_partner_allocation(grouped: DataFrame, slice_df: DataFrame, ad_unit_d
     if mode == "per_path":
         gm = gm.groupBy(*SITE_KEYS, "mapped_adunit_path").agg(
             F.sum("total_demand_partner_impressions").alias("total_demand_partner_impressions"),
-            F.sum("total_demand_partner_revenue_usd").alias("total_demand_partner_revenue_usd"),
+            exact_money_sum("total_demand_partner_revenue_usd").alias("total_demand_partner_revenue_usd"),
             F.max("max_demand_partner_date").alias("max_demand_partner_date"))
     elif mode != "per_row":
         raise ValueError(f"unknown allocation mode {mode!r}")

@@ -50,6 +50,16 @@ def group_gam(pulled: DataFrame, country_dim: DataFrame) -> DataFrame:
     )
 
 
+MONEY_DECIMAL = "decimal(38,12)"
+
+
+def exact_money_sum(col: str):
+    """Order-independent money sum (DECIMAL accumulation, double result): identical totals
+    whatever the partitioning or executor count. Used on daily report totals, whose
+    magnitudes make double sums differ in the last bits between runs."""
+    return F.sum(F.col(col).cast(MONEY_DECIMAL)).cast("double")
+
+
 def group_demand_partner(pulled: DataFrame) -> DataFrame:
     """E-04: partner rows to (date, network, org, ad unit, upper(geo))."""
     return pulled.groupBy(
@@ -58,6 +68,6 @@ def group_demand_partner(pulled: DataFrame) -> DataFrame:
         F.upper("geo").alias("country"),
     ).agg(
         F.sum("impressions").alias("total_demand_partner_impressions"),
-        F.sum("revenue_usd").alias("total_demand_partner_revenue_usd"),
+        exact_money_sum("revenue_usd").alias("total_demand_partner_revenue_usd"),
         F.max("max_demand_partner_date").alias("max_demand_partner_date"),
     )
