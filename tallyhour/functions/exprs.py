@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tallyhour.schemas import AUCTION_NETWORK, NULL_SENTINEL, OWNER_NETWORK  # noqa: F401
 
 __all__ = [
     "col_or", "utc_date", "hour_of", "to_ntz", "ts_lit", "date_lit", "domain_of", "strip_www",
@@ -20,9 +21,7 @@ __all__ = [
     "safe_bigint", "normalise_country_code",
 ]
 
-# Sentinel used by the reference merges for null keys, and the URL
-# host pattern (optional scheme, optional user info, host, optional port).
-NULL_SENTINEL = "NA"
+# Fixed value: URL host pattern (optional scheme, optional user info, host, optional port).
 _HOST_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^@/?#]*@)?([A-Za-z0-9._-]+)(?::[0-9]*)?(?:[/?#].*)?$"
 _WWW_PATTERN = r"^www\."
 
@@ -84,7 +83,7 @@ def domain_of(url: str | Column) -> Column:
 def canonical_network(network: str | Column, paying_entity: str | Column) -> Column:
     """H-18 Prebid is an auction platform: the paying partner becomes the network."""
     n = col_or(network)
-    return F.when(n == F.lit("Prebid"), col_or(paying_entity)).otherwise(n)
+    return F.when(n == F.lit(AUCTION_NETWORK), col_or(paying_entity)).otherwise(n)
 
 
 def cpm_to_revenue(cpm: str | Column) -> Column:
@@ -92,7 +91,7 @@ def cpm_to_revenue(cpm: str | Column) -> Column:
     return col_or(cpm) / F.lit(1000)
 
 
-def actual_flag(network: str | Column, owner: str = "MinuteSSP") -> Column:
+def actual_flag(network: str | Column, owner: str = OWNER_NETWORK) -> Column:
     """1 when the row's revenue is actual (owned network), else 0. Uses the raw network."""
     return F.when(col_or(network) == F.lit(owner), F.lit(1)).otherwise(F.lit(0))
 

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from tallyhour.functions.exprs import allocate_count, allocate_revenue, null_safe_eq, proportional_weight
 from tallyhour.operators.grouping import exact_money_sum
 from tallyhour.operators.mapping import map_gam_ad_unit, map_partner_ad_unit
-from tallyhour.schemas import GRAIN
+from tallyhour.schemas import ALL_UNITS, GRAIN, SERVED_EVENT
 
 SLICE_COLUMNS = GRAIN + ["tracked_event_count"]
-ALL_UNITS = "all_units"
 
 
 def apply_weights(df: DataFrame, *, count_total: str, revenue_total: str,
@@ -36,7 +35,7 @@ def apply_weights(df: DataFrame, *, count_total: str, revenue_total: str,
 
 
 def ssot_slice(ssot: DataFrame, dates, *, networks: Sequence[str] | None = None,
-               exclude_networks: Sequence[str] | None = None, event: str = "served") -> DataFrame:
+               exclude_networks: Sequence[str] | None = None, event: str = SERVED_EVENT) -> DataFrame:
     """S-07/S-08: traffic rows of the given dates for allocation (14 columns).
 
     ``exclude_networks`` uses NOT IN, so rows with a null network are dropped too.

@@ -11,8 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhour.functions.exprs import NULL_SENTINEL
-from tallyhour.schemas import GRAIN, REQUIRED_GRAIN
+from tallyhour.schemas import GAM_NETWORK, GRAIN, NULL_SENTINEL, OWNER_NETWORK, REQUIRED_GRAIN
 
 
 class BlockingCheckError(RuntimeError):
@@ -117,13 +116,13 @@ def check_bounding(grouped: DataFrame, allocated: DataFrame, ssot: DataFrame, *,
 
 def check_gam_bounding(grouped: DataFrame, allocated: DataFrame, ssot: DataFrame, *, mode: str = "equal") -> DataFrame:
     return check_bounding(grouped, allocated, ssot, source_col="total_gam_revenue", mode=mode,
-                          where=(F.col("network") == "GAM") & F.col("max_gam_timestamp").isNotNull())
+                          where=(F.col("network") == GAM_NETWORK) & F.col("max_gam_timestamp").isNotNull())
 
 
 def check_demand_partner_bounding(grouped: DataFrame, allocated: DataFrame, ssot: DataFrame, *,
                                   mode: str = "equal") -> DataFrame:
     return check_bounding(grouped, allocated, ssot, source_col="total_demand_partner_revenue_usd", mode=mode,
-                          where=~F.col("network").isin("GAM", "MinuteSSP")
+                          where=~F.col("network").isin(GAM_NETWORK, OWNER_NETWORK)
                           & F.col("max_demand_partner_date").isNotNull())
 
 

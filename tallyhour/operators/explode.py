@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import typed_null
 from tallyhour.operators.mapping import normalise_country
-from tallyhour.schemas import GRAIN
+from tallyhour.schemas import GRAIN, OWNER_NETWORK, SERVED_EVENT
 
 HOURS_PER_DAY = 24
 
@@ -73,8 +73,8 @@ def ssp_explode(pulled: DataFrame, country_dim: DataFrame, *, remainder: str = "
     m = normalise_country(pulled, country_dim, code_col="country_code", out_col="country")
     daily = m.select(
         F.col("report_date").alias("event_date"), F.col("publisher_id").alias("organization_id"),
-        F.col("placement_type").alias("media_type"), F.lit("MinuteSSP").alias("network"),
-        F.lit("served").alias("event"), "country", "impressions", "revenue_usd", "max_ssp_date")
+        F.col("placement_type").alias("media_type"), F.lit(OWNER_NETWORK).alias("network"),
+        F.lit(SERVED_EVENT).alias("event"), "country", "impressions", "revenue_usd", "max_ssp_date")
     keys = ["event_date", "organization_id", "media_type", "country"]
     if remainder == "per_grain":
         daily = daily.groupBy(*keys, "network", "event").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import normalise_country_code
+from tallyhour.schemas import GAM_PARTNER
 
 DIM_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -76,7 +77,7 @@ def normalise_country(df: DataFrame, dim: DataFrame, *, code_col: str = "country
     return j.withColumn(out_col, normalise_country_code(F.col(code_col), F.col("_a2"))).drop("_a3", "_a2")
 
 
-def gam_ad_unit_dim(dim: DataFrame, partner: str = "gam") -> DataFrame:
+def gam_ad_unit_dim(dim: DataFrame, partner: str = GAM_PARTNER) -> DataFrame:
     """D-04 GAM rows of the ad-unit map: adunit path -> numeric ad unit id."""
     g = dim.where(F.lower(F.col("partner_name")) == F.lit(partner))
     g = checked_dim(g, [F.col("adunit_path")])

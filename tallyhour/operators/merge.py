@@ -21,8 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhour.functions.exprs import NULL_SENTINEL, ts_lit
-from tallyhour.schemas import GRAIN, REQUIRED_GRAIN
+from tallyhour.functions.exprs import ts_lit
+from tallyhour.schemas import GAM_NETWORK, GRAIN, NULL_SENTINEL, OWNER_NETWORK, REQUIRED_GRAIN
 
 SRC = "_s_"
 
@@ -191,7 +191,7 @@ def _insert_all(columns: Sequence[str], run_ts) -> dict[str, Column]:
 
 
 def events_spec(run_ts: _dt.datetime, *, null_mode: str = "null_safe", owner_actual: str = "coalesce",
-                owner: str = "MinuteSSP") -> MergeSpec:
+                owner: str = OWNER_NETWORK) -> MergeSpec:
     """I-01: events upsert. Actual revenue is overwritten only for the owner network
     (others keep what partner reconciliation wrote)."""
     if owner_actual == "replace":
@@ -267,5 +267,5 @@ def gam_spec(run_ts, wm=None, *, null_mode: str = "null_safe") -> MergeSpec:
         wm_date = wm.date() if isinstance(wm, _dt.datetime) else wm
         prune = F.col("event_date") >= F.date_sub(F.lit(wm_date).cast("date"), 1)
     return MergeSpec(update=update, insert=None, plain_keys=REQUIRED_GRAIN + ["network"], null_mode=null_mode,
-                     target_condition=F.col("network") == F.lit("GAM"), prune=prune)
+                     target_condition=F.col("network") == F.lit(GAM_NETWORK), prune=prune)
 

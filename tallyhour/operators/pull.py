@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import (actual_flag, canonical_network, cpm_to_revenue, date_lit,
                                        domain_of, hour_of, ts_lit, utc_date)
-from tallyhour.operators.watermark import SSP_SITE_TYPES
+from tallyhour.schemas import SSP_SITE_TYPES, SYNDICATION_EVENT, SYNDICATION_NETWORK
 
 EVENTS_SPAN = _dt.timedelta(days=5)
 
@@ -139,7 +139,7 @@ def pull_syndication(reports: DataFrame, wm) -> DataFrame:
         F.col("transaction_date").alias("event_date"),
         F.col("content_property").alias("organization_id"),
         F.col("partner_name").alias("demand_owner"),
-        F.lit("Syndication").alias("network"),
-        F.lit("syndication_view").alias("event"),
+        F.lit(SYNDICATION_NETWORK).alias("network"),
+        F.lit(SYNDICATION_EVENT).alias("event"),
         "article_count", "total_revenue",
         F.col("transaction_date").alias("max_syndication_date"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import date_lit, hour_of, ts_lit
+from tallyhour.schemas import OWNER_NETWORK, SSP_SITE_TYPES, SYNDICATION_NETWORK  # noqa: F401
 
 EPOCH_TS = _dt.datetime(1970, 1, 1)
 EPOCH_DATE = _dt.date(1970, 1, 1)
@@ -19,9 +20,9 @@ WATERMARKS = {
     "demand_partner": ("max_demand_partner_date", EPOCH_DATE, False, None),
     # external SSP rows only: first-party MinuteSSP rows carry a tracked count
     "ssp": ("max_ssp_date", EPOCH_DATE, False,
-            lambda: (F.col("network") == F.lit("MinuteSSP")) & F.col("tracked_event_count").isNull()),
+            lambda: (F.col("network") == F.lit(OWNER_NETWORK)) & F.col("tracked_event_count").isNull()),
     "syndication": ("max_syndication_date", EPOCH_DATE, False,
-                    lambda: F.col("network") == F.lit("Syndication")),
+                    lambda: F.col("network") == F.lit(SYNDICATION_NETWORK)),
 }
 
 
@@ -82,7 +83,6 @@ def gam_due(run_ts: _dt.datetime, hour: int = 17) -> bool:
     return run_ts.hour == hour
 
 
-SSP_SITE_TYPES = ("external", "ext_player")
 
 
 def ssp_new_data(reports: DataFrame, wm) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhour.operators import allocation, delta, dq, explode, grouping, merge, pull, watermark
-from tallyhour.schemas import SSOT_COLUMNS
+from tallyhour.schemas import GAM_NETWORK, OWNER_NETWORK, SSOT_COLUMNS
 from tallyhour.session import checkpoint_dir
 from tallyhour.sources.staging import STAGING_LAYOUT, stage_table, write_named_staging
 
@@ -193,7 +193,7 @@ def run_syndication(inputs, ssot, opts: Options) -> JobResult:
 
 # --- L-04 ------------------------------------------------------------------
 
-DP_EXCLUDED_NETWORKS = ("GAM", "MinuteSSP")
+DP_EXCLUDED_NETWORKS = (GAM_NETWORK, OWNER_NETWORK)
 
 
 def demand_partner_staged(inputs, ssot, opts: Options) -> dict:
@@ -244,7 +244,7 @@ def gam_staged(inputs, ssot, opts: Options) -> dict:
     grouped = _materialize(grouping.group_gam(pulled, inputs["dim_country_mapping"]), opts, "GAM_grouping")
     # pulled days = days of the (small, staged) hourly totals
     dates = sorted(r[0] for r in grouped.select("event_date").distinct().collect() if r[0] is not None)
-    slice_df = allocation.ssot_slice(ssot, dates, networks=["GAM"])
+    slice_df = allocation.ssot_slice(ssot, dates, networks=[GAM_NETWORK])
     allocated = _materialize(allocation.gam_allocation(slice_df, grouped, inputs["dim_ad_unit_mapping"],
                                                        null_mode=opts.null_mode), opts, "GAM_allocation")
     return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,

@@ -18,6 +18,19 @@ WATERMARK_COLS = ["max_events_stream_timestamp", "max_gam_timestamp", "max_deman
 AUDIT_COLS = ["dwh_created_at", "dwh_updated_at"]
 SSOT_COLUMNS = GRAIN + METRICS + WATERMARK_COLS + AUDIT_COLS
 
+# Names carried by the source data and the fact table, which the
+# pipeline rules test for (they must equal the values in the data).
+OWNER_NETWORK = "MinuteSSP"          # first-party network: its revenue is actual, and SSP rows use it
+GAM_NETWORK = "GAM"
+SYNDICATION_NETWORK = "Syndication"
+AUCTION_NETWORK = "Prebid"           # auction platform: the paying entity becomes the network
+SERVED_EVENT = "served"
+SYNDICATION_EVENT = "syndication_view"
+SSP_SITE_TYPES = ("external", "ext_player")
+GAM_PARTNER = "gam"                  # partner name of GAM rows in the ad-unit map (compared lower-case)
+ALL_UNITS = "all_units"              # group key of a site-wide (unmapped) partner report
+NULL_SENTINEL = "NA"                 # null stand-in of the reference merge keys
+
 TS = T.TimestampNTZType()
 S = T.StringType()
 L = T.LongType()
