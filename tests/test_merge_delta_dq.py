@@ -148,3 +148,12 @@ def test_owner_rule_replace_vs_coalesce(spark):
     coa = merge.merge_into(target, src, merge.events_spec(RUN_TS, owner_actual="coalesce")).table.first()
     assert rep["actual_revenue"] is None and coa["actual_revenue"] == 9.0
     assert rep["tracked_event_count"] == coa["tracked_event_count"] == 2
+
+
+def test_dq_scoped_to_touched_dates(spark):
+    rows = [fact(network="GAM", tracked_event_count=1), fact(network="GAM", tracked_event_count=2),   # old duplicate
+            fact(day=2, network="GAM", tracked_event_count=1)]
+    ssot = ssot_rows(spark, rows)
+    full = {r["name"]: r["status"] for r in dq.run_checks(ssot, {}).collect()}
+    touched = {r["name"]: r["status"] for r in dq.run_checks(ssot, {}, dates=[D2]).collect()}
+    assert full["ssot_grain_uniqueness"] == "FAIL" and touched["ssot_grain_uniqueness"] == "PASS"
