@@ -113,3 +113,36 @@ def apply_retention(df: DataFrame, date_col: str, days: int, as_of: _dt.date) ->
     if dict(df.dtypes).get(date_col, "date").startswith("timestamp"):
         c = F.to_date(c)
     return df.where(c >= F.lit(lo))
+
+
+def expire_partitions(spark: SparkSession, path: str, partition_col: str, days: int,
+                      as_of: _dt.date) -> list[_dt.date]:
+    """R-01: drop date partitions older than ``days`` before ``as_of`` from a table partitioned
+    by ``partition_col`` (the partition-expiry setting of the raw event table).
+
+    Partitions are whole directories, so expiry deletes them through the cluster
+    filesystem (no data is read or rewritten). Returns the dropped partition dates.
+    """
+    cutoff = as_of - _dt.timedelta(days=days)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    dropped = []
+    prefix = partition_col + "="
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(prefix)):
+            continue
+        try:
+            day = _dt.date.fromisoformat(name[len(prefix):][:10])
+        except ValueError:
+            continue
+        if day < cutoff:
+            fs.delete(st.getPath(), True)
+            dropped.append(day)
+    if dropped:
+        spark.catalog.refreshByPath(path)
+    return sorted(dropped)

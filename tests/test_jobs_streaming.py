@@ -132,3 +132,16 @@ def test_command_line_hourly_run(spark, inputs):
     assert [r["n"] for r in rows] == list(range(1, 8))
     mem = consolidate(inputs, empty_ssot(spark), scenario_options("parity")).ssot
     assert _rows(read_ssot(spark, ssot)) == _rows(mem)
+
+
+def test_expire_partitions(spark, inputs):
+    from tallyhour.sources.staging import expire_partitions
+    path = os.path.join(tempfile.mkdtemp(prefix="tallyhour-raw-"), "events_stream")
+    (inputs["events_stream"].withColumn("event_day", F.to_date("timestamp"))
+     .write.partitionBy("event_day").parquet(path))
+    dropped = expire_partitions(spark, path, "event_day", 60, dt.date(2024, 3, 15))
+    assert dropped and max(dropped) == dt.date(2024, 1, 14)
+    left = spark.read.parquet(path)
+    assert left.agg(F.min("event_day")).first()[0] == dt.date(2024, 1, 15)
+    kept = apply_retention(inputs["events_stream"], "timestamp", 60, dt.date(2024, 3, 15))
+    assert left.count() == kept.count()
