@@ -47,8 +47,8 @@ _MULT2 = np.uint64(0xD6E8FEB86659FD93)
 SLOT_BITS = (14, 17, 19, 20, 21, 21)
 _BASE = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 PRIOR = 0.3
-ROUNDS = 2
-STEP = 1024
+RATES = (0.05, 0.02)
+STEP = 4096
 BUCKETS = 24
 REFINED = 0.5
 BLOCK_TOKENS = 2_000_000
@@ -257,7 +257,7 @@ def fit(train: DataFrame) -> Mixer:
                 [pa.array(u), pa.array(np.bincount(inv, np.concatenate(zeros))), pa.array(np.bincount(inv, np.concatenate(ones)))],
                 names=["slot", "n0", "n1"])
 
-    def packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros((2, 1 << 14), np.float32)
         at = rows["slot"].to_numpy() & (1 << 14) - 1
         out[0, at], out[1, at] = rows["n0"].to_numpy(), rows["n1"].to_numpy()
@@ -275,8 +275,8 @@ def fit(train: DataFrame) -> Mixer:
     model = Mixer.fresh(n0, n1)
 
     # weights: every partition learns on from the same weights; the average by windows goes on
-    for rnd in range(ROUNDS):
-        start, rate = (model.by_known, model.by_count, model.refine), 0.05 / (1 + rnd)
+    for rate in RATES:
+        start = (model.by_known, model.by_count, model.refine)
 
         def learn(batches, start=start, rate=rate):
             n0, n1 = tables.value
