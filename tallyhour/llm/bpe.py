@@ -34,7 +34,7 @@ from .common import ship, slices, strings
 
 SLICE_BYTES = 4 << 20
 #: Units and pieces that a worker remembers.
-MEMORY = 800_000
+MEMORY = 400_000
 _NONE = np.int64(1) << 62
 
 #: The pattern that cuts text before merging. Fixed value.

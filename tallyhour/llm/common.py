@@ -8,6 +8,8 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +73,46 @@ def fold(key: str, mod: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(mod)
 
 
+#: Most bits (log2) of the bitmap that tells rows which surely have no key in a set.
+KEY_BITS = 26
+
+
+def text_key() -> Column:
+    """With doc_id, what tells rows of documents apart: rows equal in both are repeats of one."""
+    return F.xxhash64("text")
+
+
+def split_by_keys(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that surely have no key in ``keys``, the others) by a bitmap of at most 2**KEY_BITS bits.
+
+    Most rows need not be shuffled to tell that they are not among a few. ``keys`` holds
+    distinct (doc_id, h), ``h`` being ``text_key()``.
+    """
+    bits = min(KEY_BITS, max(16, (16 * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id", "h"), F.lit(1 << bits)).alias("place")
+    words = (keys.select(place).groupBy(F.shiftright("place", 6).alias("w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("b")).toPandas())  # 2**(bits - 6) rows
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    bitmap[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def maybe(place: pd.Series) -> pd.Series:
+        at = place.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    hit = maybe(F.pmod(F.xxhash64(F.col("doc_id"), text_key()), F.lit(1 << bits)))
+    return docs.where(~hit), docs.where(hit)
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs``, all columns, whose (doc_id, text) is not among the distinct ``keys`` (doc_id, h)."""
+    clear, rest = split_by_keys(docs, keys)
+    keys = keys.select(F.col("doc_id").alias("_key_id"), F.col("h").alias("_key_h"))
+    kept = rest.join(keys, rest["doc_id"].eqNullSafe(keys["_key_id"]) & (F.xxhash64(rest["text"]) == keys["_key_h"]), "left_anti")
+    return clear.unionByName(kept)
+
+
 def slices(batch: pa.RecordBatch, col: int, limit: int):
     """Runs of rows whose column ``col`` holds about ``limit`` bytes (one row at least)."""
     n = batch.num_rows

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, ship, slices
+from .common import scratch, ship, slices, stage, text_key, without
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -288,7 +288,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> Da
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns, without a hit."""
-    bad = (contamination(docs, benchmark, slop=0).where("contaminated").select(F.col("doc_id").alias("_bad"))
-           .distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """Rows of ``docs``, all columns, without a hit. Texts are looked up by their own hash, so that
+    null and repeated doc_ids are told apart by their texts."""
+    keyed = docs.select(text_key().alias("doc_id"), "text")
+    hit = contamination(keyed, benchmark, slop=0).where("contaminated").select(F.col("doc_id").alias("h")).distinct()
+    bad = docs.select("doc_id", text_key().alias("h")).join(hit, "h", "left_semi").distinct()
+    return without(docs, stage(bad, "phrase-bad"))

@@ -19,8 +19,8 @@ small-star rounds, each written in the shared folder.
 
 Defined results: null, empty or blank texts have fingerprint zero and are linked
 like others; fewer than ``k`` words make one shingle; rows with equal doc_id are
-separate rows with equal fingerprints' component; null doc_ids get the component
-of their fingerprint, and a component of null doc_ids only has a null id.
+separate rows, each with the component of its own fingerprint; null doc_ids get the
+component of their fingerprint, and a component of null doc_ids only has a null id.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, scratch, ship, slices, stage, strings, words_of
+from .common import lower_ascii, ship, slices, split_by_keys, stage, strings, text_key, without, words_of
 
 SEED = 42
 BITS = 4
@@ -46,7 +46,9 @@ ANCHOR_BITS = 24
 #: Anchors that are home to more fingerprints than this, and than 3N / MOST_SALTED, are salted.
 HOME_LIMIT = 2000
 MOST_SALTED = 50_000
-CHUNK = 200_000
+#: Rows of dealt anchors held, and pairs compared, at a time.
+CHUNK = 100_000
+PAIRS_AT_ONCE = 1 << 18
 
 
 def fingerprint(text: str, k: int = 4) -> int:
@@ -74,17 +76,18 @@ def fingerprint(text: str, k: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = 4) -> DataFrame:
-    """doc_id and the fingerprint as a signed long, of every row."""
+    """doc_id, h (hash of the text) and the fingerprint as a signed long, of every row."""
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1, SLICE_BYTES):
-                fp = np.array([fingerprint(t, k) for t in strings(part.column(1))], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            for part in slices(batch, 2, SLICE_BYTES):
+                fp = np.array([fingerprint(t, k) for t in strings(part.column(2))], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))],
+                                                 names=["doc_id", "h", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", text_key().alias("h"), "text").mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
 class _Code:
@@ -194,26 +197,27 @@ def _links(g: np.ndarray, home: np.ndarray, fp: np.ndarray, bits: int):
     homes = np.add.reduceat(home.astype(np.int64), cut)
     out_a, out_b = [], []
     work = homes * size
-    small = (homes > 0) & (size > 1) & (work <= 1 << 20)
+    small = (homes > 0) & (size > 1) & (work <= PAIRS_AT_ONCE)
     at = np.flatnonzero(small)
-    begin = 0
+    total, begin = np.concatenate([[0], np.cumsum(work[at])]), 0
     while begin < len(at):
-        end = begin + max(1, int(np.searchsorted(np.cumsum(work[at[begin:]]), 4 << 20)))
+        end = begin + max(1, int(np.searchsorted(total, total[begin] + PAIRS_AT_ONCE, side="right")) - begin - 1)
         sel = at[begin:end]
         row = np.repeat(np.arange(len(sel)), work[sel])
         i = np.arange(len(row)) - np.repeat(np.cumsum(work[sel]) - work[sel], work[sel])
         x, y = cut[sel][row] + i // size[sel][row], cut[sel][row] + i % size[sel][row]
         near = (np.bitwise_count(fp[x] ^ fp[y]) <= bits) & (x != y)
-        out_a.append(fp[x[near]])
-        out_b.append(fp[y[near]])
+        sa, sb = stars(fp[x[near]], fp[y[near]])
+        out_a.append(sa)
+        out_b.append(sb)
         begin = end
-    for k in np.flatnonzero((homes > 0) & (work > 1 << 20)):
+    for k in np.flatnonzero((homes > 0) & (work > PAIRS_AT_ONCE)):
         f = fp[cut[k]:cut[k] + size[k]]
         h = f[:homes[k]]
-        for i in range(0, len(h), 512):
-            for j in range(0, len(f), 8192):
-                r, c = np.nonzero(np.bitwise_count(h[i:i + 512, None] ^ f[None, j:j + 8192]) <= bits)
-                sa, sb = stars(h[i:i + 512][r], f[j:j + 8192][c])
+        for i in range(0, len(h), 64):
+            for j in range(0, len(f), PAIRS_AT_ONCE // 64):
+                r, c = np.nonzero(np.bitwise_count(h[i:i + 64, None] ^ f[None, j:j + PAIRS_AT_ONCE // 64]) <= bits)
+                sa, sb = stars(h[i:i + 64][r], f[j:j + PAIRS_AT_ONCE // 64][c])
                 out_a.append(sa)
                 out_b.append(sb)
     if not out_a:
@@ -252,8 +256,8 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         occupied, hot_at, hot_parts = shared.value
         for batch in batches:
             every = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for s in range(0, len(every), 4096):
-                fp = every[s:s + 4096]
+            for s in range(0, len(every), 1024):
+                fp = every[s:s + 1024]
                 at_home = home_anchors(fp)
                 for row, anchor in member_anchors(fp):
                     live = (occupied[anchor >> 6] >> (anchor & 63).astype(np.uint64)) & np.uint64(1) == 1
@@ -328,27 +332,41 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, bits: int = BITS) -> DataFrame:
-    """doc_id, fp (signed long) and component_id (smallest doc_id reachable) of every row."""
+def _classes(docs: DataFrame, k: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, h, fp of every row; fp and its component's root)."""
     fps = stage(fingerprints(docs, k), "simhash-fps")
-    distinct = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
+    distinct = stage(fps.select("fp").distinct(), "simhash-distinct")
     roots = components(links(distinct, bits))
-    member = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
-              .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    low = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    class_of = member.join(low, "root").select("fp", "component_id")
+    member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return fps, member
+
+
+def near_duplicates(docs: DataFrame, k: int = 4, bits: int = BITS) -> DataFrame:
+    """doc_id, fp (signed long) and component_id (smallest doc_id reachable) of every row."""
+    fps, member = _classes(docs, k, bits)
+    low = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(member, "fp")
+    component = low.groupBy("root").agg(F.min("low").alias("component_id"))
+    class_of = member.join(component, "root").select("fp", "component_id")
     return fps.join(class_of, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 4, bits: int = BITS) -> DataFrame:
-    """One row of each component, all columns: that of the smallest doc_id (null ids: all rows stay)."""
-    found = near_duplicates(docs, k, bits)
-    kept = stage(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "simhash-kept")
-    once = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
-    out = [once, docs.where("doc_id is null")]
-    if kept.where("n > 1").limit(1).count():
-        out.append(docs.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    whole = out[0]
-    for o in out[1:]:
-        whole = whole.unionByName(o)
-    return whole.select(docs.columns)
+    """One row of each component, all columns: the smallest doc_id, null ids last, ties by the text's hash."""
+    fps, member = _classes(docs, k, bits)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    # repeats are folded and each fingerprint's first row found before components meet
+    rows = fps.groupBy("doc_id", "h", "fp").agg(F.count("*").alias("n"))
+    first = (rows.groupBy("fp").agg(F.min(rank).alias("low")).join(member, "fp")
+             .groupBy("root").agg(F.min("low").alias("first")))
+    first_of = member.join(first, "root").select("fp", "first")
+    decided = stage(rows.join(first_of, "fp").select(
+        "doc_id", "h", "n", (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.h") == F.col("h"))).alias("stays")),
+        "simhash-decided")
+    repeated = decided.where("stays and n > 1").select("doc_id", "h")
+    if not repeated.limit(1).count():
+        return without(docs, decided.where("not stays").select("doc_id", "h"))
+    others, some = split_by_keys(docs, repeated)
+    key = [some["doc_id"].eqNullSafe(repeated["doc_id"]), F.xxhash64(some["text"]) == repeated["h"]]
+    once = some.join(repeated, key, "left_semi").dropDuplicates(["doc_id", "text"])
+    rest = others.unionByName(some.join(repeated, key, "left_anti"))
+    return without(rest, decided.where("not stays").select("doc_id", "h")).unionByName(once)
