@@ -9,7 +9,7 @@ length together; a piece of any length is merged whole.
 
 Texts are cut by the pattern of the vocabulary. Between single blanks the cut is
 the same for each blank-led unit alone as for the whole text, so units are looked
-up in a bounded per-worker memory of units met before; texts with other runs of
+up in a bounded memory of units that the task has met before; texts with other runs of
 white space are cut whole. Strings of special tokens become their ids, as the
 tokenizers library does by default. The vocabulary file is a parameter; workers
 read it from their own copy of the tokenizer package.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from .common import ship, slices, strings
 
 SLICE_BYTES = 4 << 20
-#: Units and pieces that a worker remembers.
+#: Units and pieces that a task remembers.
 MEMORY = 400_000
 _NONE = np.int64(1) << 62
 
@@ -235,11 +235,11 @@ class Coder:
 
 
 def coder(path: str) -> Coder:
-    """The worker's coder of this vocabulary, kept between tasks."""
-    kept = sys.modules[__name__].__dict__.setdefault("_CODERS", {})
+    """A new coder, so that a task's memory ends with it; only the vocabulary stays in the worker."""
+    kept = sys.modules[__name__].__dict__.setdefault("_VOCABULARIES", {})
     if path not in kept:
-        kept[path] = Coder(Vocabulary(path))
-    return kept[path]
+        kept[path] = Vocabulary(path)
+    return Coder(kept[path])
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tallyhour.session import checkpoint_dir
 
+#: Rows handed to Python at a time; texts may be long.
+BATCH_ROWS = 1000
 #: Separators of words in the contracts: space and \x09 to \x0D.
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 _SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
@@ -34,7 +36,9 @@ def words_of(text: str) -> list[str]:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that tasks can import it."""
+    """Send this package to the executors once per application, so that tasks can import it, and keep
+    Arrow batches of long texts small in this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_tallyhour_shipped", False):
         return

@@ -38,7 +38,8 @@ SEGMENT_IDS = 1 << 17
 SEGMENTS_PER_FILE = 64
 MAGIC = int.from_bytes(b"S8TOKENS", "little")
 SYNC = b"\x00S8SYNC\n"
-MEMORY = 800_000
+#: Words that a task remembers.
+MEMORY = 400_000
 SLICE_BYTES = 4 << 20
 
 
@@ -164,11 +165,8 @@ class WordCoder:
     #: The vocabulary's own cut, for lower-cased plain words. Fixed value.
     CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.stand_in = {b: c for c, b in _byte_chars().items()}
         self.known: dict[str, bytes] = {}
@@ -207,11 +205,14 @@ class WordCoder:
 
 
 def coder(path: str) -> WordCoder:
-    """The worker's coder of this file, kept between tasks."""
-    kept = sys.modules[__name__].__dict__.setdefault("_CODERS", {})
+    """A new coder, so that a task's memory ends with it; only the tokenizer stays in the worker."""
+    kept = sys.modules[__name__].__dict__.setdefault("_TOKENIZERS", {})
     if path not in kept:
-        kept[path] = WordCoder(path)
-    return kept[path]
+        from tokenizers import Tokenizer
+        kept[path] = Tokenizer.from_file(path)
+        kept[path].no_truncation()
+        kept[path].no_padding()
+    return WordCoder(kept[path])
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
