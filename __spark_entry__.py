@@ -27,7 +27,9 @@ if _HERE not in sys.path:
 
 from tallyhour.operators import dq, grouping, pull, watermark  # noqa: E402
 from tallyhour.operators.mapping import map_partner_ad_unit, normalise_country  # noqa: E402
+from tallyhour.plans import scenarios  # noqa: E402
 from tallyhour.plans.backfill import backfill  # noqa: E402
+from tallyhour.schemas import GRAIN  # noqa: E402
 from tallyhour.session import configure  # noqa: E402
 from tallyhour.sources.fixtures import derived_inputs  # noqa: E402
 from tallyhour.sources.staging import apply_retention  # noqa: E402
@@ -168,14 +170,11 @@ def _suite(mode):
     return q
 
 
-SECOND_RUN_TS = _dt.datetime(2024, 2, 2, 17, 0, 0)
-
-
 def _second_run(spark, sf):
     """One more hourly run with the reference's single-step rules over the backfilled table."""
     from tallyhour.plans.jobs import consolidate
     b = _b(spark, sf)
-    opts = b.opts.with_(catch_up=False, run_ts=SECOND_RUN_TS)
+    opts = b.opts.with_(catch_up=False, run_ts=scenarios.SECOND_RUN_TS)
     return _r(consolidate(b.inputs, b.final, opts).ssot)
 
 
@@ -188,7 +187,44 @@ def _retention(spark, sf):
 def _available_now(spark, sf):
     from tallyhour.streaming.events_stream import run_available_now
     configure(spark)
-    return _r(run_available_now(spark, derived_inputs(spark, sf), run_ts=_dt.datetime(2024, 2, 1, 17, 0, 0)))
+    return _r(run_available_now(spark, derived_inputs(spark, sf), run_ts=_dt.datetime(2024, 2, 1, 17, 0, 0),
+                                null_mode="sentinel", owner_actual="replace"))
+
+
+def _scenario(make, **kw):
+    return lambda spark, sf: _r(make(spark, sf, **kw))
+
+
+def _skipped_source(spark, sf):
+    """I-06: a source without new data merges nothing."""
+    from tallyhour.plans.jobs import run_ssp, run_syndication
+    b = _b(spark, sf)
+    opts = b.opts.with_(materialize=False)
+    none = {**b.inputs, "fact_syndication_revenue": b.inputs["fact_syndication_revenue"].where(F.lit(False))}
+    return _r(run_syndication(none, run_ssp(b.inputs, b.final, opts).ssot, opts).ssot)
+
+
+def _key_profile(spark, sf):
+    """I-07: the most source rows that share a merge key, by source."""
+    b = _b(spark, sf, "safe")
+    parts = []
+    for source, key in (("events_stream", "grouped"), ("ssp", "exploded"), ("syndication", "exploded"),
+                        ("demand_partner", "allocated"), ("gam", "allocated")):
+        per_key = b.detail(source)[key].groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(F.max("n").alias("most")).select(F.lit(source).alias("source"), "most"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _gam_gate(spark, sf):
+    """B-11: whether a run in each hour of the day with events would reconcile GAM."""
+    configure(spark)
+    due = [h for h in range(24) if watermark.gam_due(_dt.datetime(2024, 1, 1, h))]
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    return (ev.groupBy(F.hour("ts").cast("long").alias("hour_of_day")).agg(F.count(F.lit(1)).alias("events"))
+            .select("hour_of_day", F.col("hour_of_day").isin(due).alias("due"), "events"))
 
 
 def _present(name: str) -> bool:
@@ -276,6 +312,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "consolidated_second_run": _second_run,
         "raw_retention": _retention,
         "events_stream_available_now": _available_now,
+        "persisted_two_runs": _scenario(scenarios.persisted_two_runs),
+        "persisted_two_runs_staged": _scenario(scenarios.persisted_two_runs, staged=True),
+        "safe_single_step_events_gap": _scenario(scenarios.events_gap, mode="safe"),
+        "parity_single_step_events_gap": _scenario(scenarios.events_gap, mode="parity"),
+        "safe_single_step_gam_no_match": _scenario(scenarios.gam_no_match),
+        "safe_single_step_dp_head_of_line": _scenario(scenarios.partner_head_of_line, mode="safe"),
+        "parity_single_step_dp_head_of_line": _scenario(scenarios.partner_head_of_line, mode="parity"),
+        "ssp_explode_twins": _scenario(scenarios.ssp_twins, mode="parity"),
+        "ssp_explode_twins_safe": _scenario(scenarios.ssp_twins, mode="safe"),
+        "dp_allocation_twins": _scenario(scenarios.partner_twins, mode="parity"),
+        "dp_allocation_twins_safe": _scenario(scenarios.partner_twins, mode="safe"),
+        "url_shapes": scenarios.url_shapes,
+        "staging_by_expression": scenarios.staging_by_expression,
+        "merge_skipped_source": _skipped_source,
+        "merge_key_profile": _key_profile,
+        "gam_hour_gate": _gam_gate,
         **_llm_queries(),
     }
 

@@ -2,7 +2,8 @@
 
     python -m tallyhour --inputs <dir with the 8 input tables> --ssot <fact table path>
                         [--staging <dir>] [--run-ts 2024-02-01T17:00:00] [--mode safe|parity]
-                        [--catch-up] [--sources events_stream,ssp,...] [--dq-scope full|touched]
+                        [--catch-up] [--sources events_stream,ssp,...] [--dq-scope touched|full]
+                        [--events-partition-col event_day] [--gam-partition-col event_day]
 
 Inputs are parquet tables named as in ``sources.tables.INPUT_TABLES``. On a
 cluster, ``spark-submit`` a two-line driver that calls ``main(sys.argv[1:])``;
@@ -32,7 +33,9 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--mode", choices=["safe", "parity"], default="safe")
     p.add_argument("--catch-up", action="store_true")
     p.add_argument("--sources", default=",".join(ORDER))
-    p.add_argument("--dq-scope", choices=["full", "touched"], default="full")
+    p.add_argument("--dq-scope", choices=["full", "touched"], default="touched")
+    p.add_argument("--events-partition-col", default=None, help="day-partition column of the raw events table")
+    p.add_argument("--gam-partition-col", default=None, help="day-partition column of the GAM table")
     p.add_argument("--no-raise", action="store_true", help="report blocking DQ failures without failing")
     return p.parse_args(argv)
 
@@ -42,7 +45,8 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
     spark = spark or SparkSession.builder.appName("tallyhour").getOrCreate()
     configure(spark)
     ensure_checkpoint_dir(spark)
-    kw = dict(catch_up=a.catch_up, staging_dir=a.staging, dq_scope=a.dq_scope)
+    kw = dict(catch_up=a.catch_up, staging_dir=a.staging, dq_scope=a.dq_scope,
+              events_partition_col=a.events_partition_col, gam_partition_col=a.gam_partition_col)
     if a.run_ts:
         kw["run_ts"] = _dt.datetime.fromisoformat(a.run_ts)
     opts = Options.parity(**kw) if a.mode == "parity" else Options(**kw)

@@ -7,22 +7,22 @@ whole-stage code generation; none is a Python UDF.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tallyhour.schemas import AUCTION_NETWORK, NULL_SENTINEL, OWNER_NETWORK  # noqa: F401
 
 __all__ = [
-    "col_or", "utc_date", "hour_of", "to_ntz", "ts_lit", "date_lit", "domain_of", "strip_www",
-    "canonical_network", "cpm_to_revenue", "actual_flag", "sum_where", "max_or",
-    "proportional_weight", "allocate_count", "allocate_revenue", "null_safe_eq",
-    "grain_cond", "sentinel", "NULL_SENTINEL", "typed_null", "align_to_schema",
-    "safe_bigint", "normalise_country_code",
+    "col_or", "utc_date", "hour_of", "ts_lit", "date_lit", "domain_of", "strip_www", "canonical_network",
+    "cpm_to_revenue", "actual_flag", "sum_where", "proportional_weight", "allocate_count", "allocate_revenue",
+    "null_safe_eq", "sentinel", "NULL_SENTINEL", "typed_null", "normalise_country_code",
 ]
 
-# Fixed value: URL host pattern (optional scheme, optional user info, host, optional port).
-_HOST_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^@/?#]*@)?([A-Za-z0-9._-]+)(?::[0-9]*)?(?:[/?#].*)?$"
+# Authority of a URL: after an optional scheme and its //, up to the path, query, fragment or end. The scheme
+# part is possessive, so that a scheme is never read as a host; a blank inside is no URL.
+_AUTHORITY = r"^\s*+(?:(?:[A-Za-z][A-Za-z0-9+.-]*+:)?+//)?+([^/?#\s]*+)(?:[/?#]|\s*$)"
+# Host inside an authority: behind any user info, an address in brackets or all before the port.
+_HOST = r"^(?:.*@)?(\[[^\]]*\]|[^:@\[\]]+)(?::[0-9]*)?$"
 _WWW_PATTERN = r"^www\."
 
 
@@ -51,10 +51,6 @@ def date_lit(v: _dt.date | str | None) -> Column:
     return F.lit(v).cast("date")
 
 
-def to_ntz(c: str | Column) -> Column:
-    return col_or(c).cast("timestamp_ntz")
-
-
 def utc_date(ts: str | Column) -> Column:
     """H-01 ``date(ts)`` in UTC."""
     return F.to_date(col_or(ts))
@@ -73,11 +69,12 @@ def strip_www(host: str | Column) -> Column:
 def domain_of(url: str | Column) -> Column:
     """H-11 + H-12: host of a URL without a leading ``www.``.
 
-    Scheme-less input is accepted; anything that does not parse as
-    ``[scheme://][user@]host[:port][/path]`` gives null.
+    Blanks around the URL are ignored; the scheme, or scheme and ``//``, may be missing;
+    hosts may hold any characters (international names) or be an address in brackets. What
+    has no host (an empty authority, a blank inside it, a port that is no number) gives null.
     """
-    host = F.nullif(F.regexp_extract(col_or(url), _HOST_PATTERN, 1), F.lit(""))
-    return strip_www(host)
+    authority = F.regexp_extract(col_or(url), _AUTHORITY, 1)
+    return strip_www(F.nullif(F.regexp_extract(authority, _HOST, 1), F.lit("")))
 
 
 def canonical_network(network: str | Column, paying_entity: str | Column) -> Column:
@@ -101,12 +98,6 @@ def sum_where(cond: Column, x: str | Column) -> Column:
     return F.sum(F.when(cond, col_or(x)))
 
 
-def max_or(c: str | Column, default) -> Column:
-    """E-06 ``coalesce(max(c), default)``."""
-    d = default if isinstance(default, Column) else F.lit(default)
-    return F.coalesce(F.max(col_or(c)), d)
-
-
 def proportional_weight(x: str | Column, total: str | Column) -> Column:
     """G-01 ``coalesce(x / nullif(total, 0), 0)`` as double."""
     return F.coalesce(F.try_divide(col_or(x).cast("double"), F.nullif(col_or(total), F.lit(0))),
@@ -123,11 +114,6 @@ def allocate_revenue(total: str | Column, weight: str | Column) -> Column:
     return col_or(total) * col_or(weight)
 
 
-def safe_bigint(c: str | Column) -> Column:
-    """H-09 cast to bigint; text that is not an integer becomes null (unmatched)."""
-    return col_or(c).try_cast("bigint")
-
-
 def sentinel(c: Column, value: str = NULL_SENTINEL) -> Column:
     return F.coalesce(c, F.lit(value))
 
@@ -148,35 +134,11 @@ def null_safe_eq(a: Column, b: Column, mode: str = "null_safe") -> Column:
     raise ValueError(f"unknown null mode {mode!r}")
 
 
-def grain_cond(a: DataFrame, b: DataFrame, keys: Sequence[str], null_mode: str = "null_safe",
-               plain_keys: Iterable[str] = ()) -> Column:
-    """Conjunction of key equalities between two aliased DataFrames.
-
-    Keys listed in ``plain_keys`` use plain ``=`` (nulls never match), the rest
-    use ``null_mode``.
-    """
-    plain = set(plain_keys)
-    cond = None
-    for k in keys:
-        c = null_safe_eq(a[k], b[k], "plain" if k in plain else null_mode)
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def typed_null(dtype: str) -> Column:
     """C-08 typed null placeholder."""
     return F.lit(None).cast(dtype)
 
 
-def align_to_schema(df: DataFrame, schema) -> DataFrame:
-    """Project ``df`` onto ``schema``: existing columns cast, missing ones typed nulls."""
-    have = set(df.columns)
-    return df.select([
-        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
-
-
 def normalise_country_code(code: str | Column, alpha3_match: str | Column) -> Column:
     """D-03: two-letter codes kept (upper-cased), otherwise the alpha-3 lookup result."""
     c = col_or(code)

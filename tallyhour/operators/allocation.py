@@ -111,9 +111,9 @@ def partner_totals_with_denominator(grouped_mapped: DataFrame, slice_df: DataFra
     one row per (report row, covered group) with ``_unit_key`` and
     ``total_tracked_for_group``; site keys use plain equality as in the reference.
     """
-    t = slice_df
-    t_site = t.groupBy(*SITE_KEYS).agg(F.sum("tracked_event_count").alias("_T"))
-    t_unit = t.groupBy(*SITE_KEYS, "adunit").agg(F.sum("tracked_event_count").alias("_T"))
+    # one pass over the traffic; site totals roll up from the unit totals
+    t_unit = slice_df.groupBy(*SITE_KEYS, "adunit").agg(F.sum("tracked_event_count").alias("_T"))
+    t_site = t_unit.groupBy(*SITE_KEYS).agg(F.sum("_T").alias("_T"))
     g = grouped_mapped.select(*[F.col(k).alias("_g_" + k) for k in SITE_KEYS],
                               F.col("mapped_adunit_path").alias("_g_path"), *_G_TOTALS)
 

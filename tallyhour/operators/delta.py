@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import date_lit
+from tallyhour.schemas import SERVED_EVENT
 
 
 def _d(v):
@@ -27,14 +28,13 @@ def unprocessed_pairs(reports: DataFrame, ssot: DataFrame, wm, *, lookback_days:
     """
     lo = date_lit(_d(wm) - _dt.timedelta(days=lookback_days))
     arriving = reports.where(F.col("report_date") >= lo).select("report_date", "partner_name").distinct()
-    # Bounded by construction: partner names, and (day, network) pairs since the watermark,
-    # so both small sides are broadcast and the fact-table side is never shuffled.
-    partners = F.broadcast(arriving.select(F.col("partner_name").alias("_p")).distinct())
-    processed = F.broadcast(
+    # (day, network) pairs are few, but nothing bounds them here: the fact side is folded to pairs
+    # before any shuffle, and Spark broadcasts the small sides by their measured size.
+    partners = arriving.select(F.col("partner_name").alias("_p")).distinct()
+    processed = (
         ssot.where((F.col("event_date") >= lo) & F.col("actual_revenue").isNotNull())
-        .select("event_date", "network")
-        .join(partners, F.col("network") == F.col("_p"), "left_semi")
-        .distinct())
+        .select("event_date", "network").distinct()
+        .join(partners, F.col("network") == F.col("_p"), "left_semi"))
     cond = ((arriving["partner_name"] == processed["network"])
             & (arriving["report_date"] == processed["event_date"]))
     return arriving.join(processed, cond, "left_anti")
@@ -51,3 +51,15 @@ def pending_dates(reports: DataFrame, ssot: DataFrame, wm, *, lookback_days: int
     """All unprocessed report dates (bounded by the number of days), oldest first."""
     u = unprocessed_pairs(reports, ssot, wm, lookback_days=lookback_days)
     return sorted(r[0] for r in u.select("report_date").distinct().collect() if r[0] is not None)
+
+
+def with_traffic(pairs: DataFrame, ssot: DataFrame) -> DataFrame:
+    """``pairs`` (report_date, partner_name) with ``has_traffic``: whether the fact table holds served
+    traffic of that network on that date, without which nothing can be allocated (H8)."""
+    first = pairs.agg(F.min("report_date")).first()[0]
+    if first is None:
+        return pairs.withColumn("has_traffic", F.lit(False))
+    traffic = (ssot.where((F.col("event_date") >= date_lit(first)) & (F.col("event") == SERVED_EVENT))
+               .select(F.col("event_date").alias("_d"), F.col("network").alias("_n")).distinct())
+    joined = pairs.join(traffic, (pairs["report_date"] == traffic["_d"]) & (pairs["partner_name"] == traffic["_n"]), "left")
+    return joined.select("report_date", "partner_name", F.col("_d").isNotNull().alias("has_traffic"))

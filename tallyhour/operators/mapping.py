@@ -1,9 +1,9 @@
 """Dimension lookups (D-01..D-06) with a checked-size broadcast.
 
-Dimensions are broadcast only after one small action proves two things: the
-join key is unique (a duplicate would fan facts out, H10) and the row count is
-below ``max_rows``. Beyond the bound the join stays a shuffle join, which AQE
-may still turn into a broadcast at runtime from measured shuffle sizes.
+One small action proves that the join key is unique (a duplicate would fan facts
+out, H10). It runs every time the join is planned, on the data as it is then: a
+dimension rewritten between runs of one session is checked anew. The joins carry
+no hint; Spark broadcasts a side by its measured size (AQE), whatever its rows.
 """
 
 from __future__ import annotations
@@ -16,40 +16,26 @@ from pyspark.sql import functions as F
 from tallyhour.functions.exprs import normalise_country_code
 from tallyhour.schemas import GAM_PARTNER
 
-DIM_BROADCAST_MAX_ROWS = 2_000_000
-
-
 class DimensionKeyError(ValueError):
     """A dimension has duplicate join keys."""
 
 
-def checked_dim(dim: DataFrame, key_exprs: Sequence[Column], *, max_rows: int = DIM_BROADCAST_MAX_ROWS,
-                check_unique: bool = True) -> DataFrame:
-    """Return ``dim`` wrapped in a broadcast hint when it is small and key-unique.
+def checked_dim(dim: DataFrame, key_exprs: Sequence[Column]) -> DataFrame:
+    """Return ``dim`` after checking that its key is unique.
 
     Rows with a null key can never match an equality join and are ignored by
     the uniqueness test.
     """
     keyed = dim.select([e.alias(f"_k{i}") for i, e in enumerate(key_exprs)])
-    memo_key = (dim.sparkSession.sparkContext.applicationId, keyed.semanticHash(), max_rows, check_unique)
-    if memo_key in _CHECKED:
-        return F.broadcast(dim) if _CHECKED[memo_key] else dim
     kcols = [f"_k{i}" for i in range(len(key_exprs))]
     nonnull = F.lit(True)
     for k in kcols:
         nonnull = nonnull & F.col(k).isNotNull()
     per_key = keyed.where(nonnull).groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
-    stats = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                        F.coalesce(F.max("_n"), F.lit(0)).alias("max_dup")).first()
-    if check_unique and stats["max_dup"] > 1:
-        bad = [tuple(r[k] for k in kcols) for r in per_key.where("_n > 1").limit(10).collect()]
+    bad = [tuple(r[k] for k in kcols) for r in per_key.where("_n > 1").limit(10).collect()]
+    if bad:
         raise DimensionKeyError(f"dimension key not unique; duplicated keys (up to 10): {bad}")
-    _CHECKED[memo_key] = stats["rows"] <= max_rows
-    return F.broadcast(dim) if _CHECKED[memo_key] else dim
-
-
-# (application, plan hash of the keyed dimension, bound, uniqueness flag) -> broadcastable
-_CHECKED: dict = {}
+    return dim
 
 
 def map_advertiser(df: DataFrame, dim: DataFrame, *, line_item_col: str = "line_item") -> DataFrame:

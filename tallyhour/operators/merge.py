@@ -7,9 +7,12 @@ Parquet tables have no row-level MERGE, so a merge is expressed as a join:
    the writer (partition pruning on the IN list);
 2. a source key that would match one target row twice is an error (I-07);
 3. upsert = full outer join, update-only = left join, on the grain, each
-   output column resolved with ``when(matched ...)``;
-4. the result is ``untouched UNION merged``; :func:`write_merge` persists only
-   the merged partitions with dynamic partition overwrite.
+   output column resolved with ``when(matched ...)``; target rows of a touched
+   partition that ``prune`` keeps from matching are carried through unchanged,
+   since their whole partition is rewritten;
+4. the result is ``untouched UNION merged``; ``write_ssot_partitions`` persists
+   only the merged partitions with dynamic partition overwrite, after
+   :func:`check_no_loss` compared them with what they replace.
 """
 
 from __future__ import annotations
@@ -41,6 +44,10 @@ class MergeCardinalityError(RuntimeError):
     """A target row is matched by more than one source row."""
 
 
+class MergeLossError(RuntimeError):
+    """A merge would write fewer rows for a date than it replaces."""
+
+
 @dataclass
 class MergeSpec:
     update: Mapping[str, Column]
@@ -100,8 +107,9 @@ def source_profile(src: DataFrame, spec: MergeSpec):
         for k in spec.plain_keys:
             valid = valid & F.col("_nk_" + k).isNotNull()
     per_key = src.groupBy(*_normalised_keys(spec)).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.max(F.when(valid, F.col("_n"))).alias("max_dup"),
-                       F.collect_set("_nk_" + spec.date_col).alias("dates")).first()
+    date = F.col("_nk_" + spec.date_col)
+    return per_key.agg(F.max(F.when(valid, F.col("_n"))).alias("max_dup"), F.collect_set(date).alias("dates"),
+                       F.coalesce(F.max(date.isNull()), F.lit(False)).alias("null_date")).first()
 
 
 def check_single_match(touched: DataFrame, src: DataFrame, spec: MergeSpec) -> None:
@@ -126,6 +134,25 @@ def check_single_match(touched: DataFrame, src: DataFrame, spec: MergeSpec) -> N
             f"merge would update one target row from several source rows; first such target row: {hit[0].asDict()}")
 
 
+def check_no_loss(before: DataFrame, merged: DataFrame, dates: Sequence, date_col: str = "event_date") -> None:
+    """Raise if some touched date would keep fewer rows than it had.
+
+    A merge only adds or updates rows, so no date can have fewer than before. One narrow
+    aggregate over both sides; at most ten offending dates reach the driver.
+    """
+    days = [d for d in dates if d is not None]
+    here = F.coalesce(F.col(date_col).isin(days), F.lit(False)) if days else F.lit(False)
+    if len(days) < len(dates):
+        here = here | F.col(date_col).isNull()
+    old = before.where(here).select(date_col, F.lit(1).alias("_b"), F.lit(0).alias("_a"))
+    new = merged.select(date_col, F.lit(0).alias("_b"), F.lit(1).alias("_a"))
+    lost = (old.unionByName(new).groupBy(date_col).agg(F.sum("_b").alias("before"), F.sum("_a").alias("after"))
+            .where("after < before").orderBy(date_col).limit(10).collect())
+    if lost:
+        raise MergeLossError("merge would lose fact rows: " + ", ".join(
+            f"{r[date_col]}: {r['before']} -> {r['after']}" for r in lost))
+
+
 def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
                dates: Iterable | None = None, check_cardinality: bool = True,
                materialize: Callable[[DataFrame], DataFrame] | None = None,
@@ -141,19 +168,24 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
     """
     dc = spec.date_col
     src = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(SRC + "present"))
-    max_dup = None
+    max_dup, null_date = None, dates is not None and None in dates
     if dates is None or check_cardinality:
         prof = source_profile(src, spec)
         max_dup = prof["max_dup"]
         if dates is None:
-            dates = prof["dates"]
+            dates, null_date = prof["dates"], prof["null_date"]
     dates = sorted(d for d in dates if d is not None)
-    if not dates:
+    if not dates and not null_date:
         return MergeResult(target, None, [])
-    in_touched = F.col(dc).isin(dates)
-    touched_cond = in_touched if spec.prune is None else in_touched & spec.prune
-    touched = target.where(touched_cond)
-    untouched = target.where(~F.coalesce(touched_cond, F.lit(False)))
+    in_touched = F.coalesce(F.col(dc).isin(dates), F.lit(False)) if dates else F.lit(False)
+    if null_date:  # the partition of rows without a date is rewritten like any other
+        in_touched = in_touched | F.col(dc).isNull()
+    untouched = target.where(~in_touched)
+    touched, carried = target.where(in_touched), None
+    if spec.prune is not None:  # rows that cannot match stay as they are in their partition
+        eligible = F.coalesce(spec.prune, F.lit(False))
+        carried = touched.where(~eligible)
+        touched = touched.where(eligible)
     if check_cardinality and (max_dup or 0) > 1:
         check_single_match(touched, src, spec)
     t = touched.withColumn("_t_present", F.lit(True))
@@ -171,6 +203,10 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
             e = F.when(source_only, ins).otherwise(e)
         cols.append(e.cast(target.schema[c].dataType).alias(c))
     merged = j.select(*cols)
+    if carried is not None:
+        merged = merged.unionByName(carried.select(*target.columns))
+    if null_date:
+        dates = [*dates, None]
     if materialize is not None and materialize_scope == "table":
         table = materialize(untouched.unionByName(merged))
         return MergeResult(table, table.where(in_touched), dates)

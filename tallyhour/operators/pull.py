@@ -19,7 +19,8 @@ from tallyhour.schemas import SSP_SITE_TYPES, SYNDICATION_EVENT, SYNDICATION_NET
 EVENTS_SPAN = _dt.timedelta(days=5)
 
 
-def _as_date(v) -> _dt.date:
+def as_date(v) -> _dt.date:
+    """The calendar date of a date, timestamp or ISO string."""
     if isinstance(v, _dt.datetime):
         return v.date()
     if isinstance(v, str):
@@ -53,9 +54,9 @@ def _day_prune(wm, span, partition_col: str | None):
     a table partitioned by a derived day is pruned by directory, not only by row group."""
     if partition_col is None or wm is None:
         return F.lit(True)
-    c = F.col(partition_col) >= date_lit(_as_date(wm))
+    c = F.col(partition_col) >= date_lit(as_date(wm))
     if span is not None:
-        c = c & (F.col(partition_col) <= date_lit(_as_date(wm + span)))
+        c = c & (F.col(partition_col) <= date_lit(as_date(wm + span)))
     return c
 
 
@@ -90,10 +91,10 @@ def gam_days(wm, today, *, catch_up: bool = False):
     (before ``today``). ``catch_up`` takes every complete day after it.
     """
     d = utc_date("timestamp")
-    nxt = date_lit(_as_date(wm) + _dt.timedelta(days=1))
+    nxt = date_lit(as_date(wm) + _dt.timedelta(days=1))
     cond = (d >= nxt) if catch_up else (d == nxt)
     if today is not None:
-        cond = cond & (d < date_lit(_as_date(today)))
+        cond = cond & (d < date_lit(as_date(today)))
     return cond
 
 
@@ -104,7 +105,7 @@ def pull_next_day(gam: DataFrame, wm, today, *, catch_up: bool = False,
     The bound is also stated on the raw timestamp so the scan can skip row groups,
     and on ``partition_col`` (a day-partition column) when the table has one.
     """
-    nxt = _as_date(wm) + _dt.timedelta(days=1)
+    nxt = as_date(wm) + _dt.timedelta(days=1)
     lo = ts_lit(_dt.datetime.combine(nxt, _dt.time()))
     cond = (F.col("timestamp") >= lo) & gam_days(wm, today, catch_up=catch_up)
     if partition_col is not None:
@@ -117,7 +118,7 @@ def pull_next_day(gam: DataFrame, wm, today, *, catch_up: bool = False,
 def pull_date(reports: DataFrame, dates: _dt.date | Iterable[_dt.date]) -> DataFrame:
     """C-03: partner report rows of the target date(s); the date is kept as the watermark column."""
     ds = [dates] if isinstance(dates, (_dt.date, str)) else list(dates)
-    ds = [_as_date(d) for d in ds]
+    ds = [as_date(d) for d in ds]
     cond = (F.col("report_date") == date_lit(ds[0])) if len(ds) == 1 else F.col("report_date").isin(ds)
     return reports.where(cond).select(
         "report_date", "partner_name", "property_code", "ad_unit", "geo", "impressions", "revenue_usd",
@@ -126,7 +127,7 @@ def pull_date(reports: DataFrame, dates: _dt.date | Iterable[_dt.date]) -> DataF
 
 def pull_ssp(reports: DataFrame, wm) -> DataFrame:
     """C-04: SSP rows on or after the watermark date (re-run safe), external site types only."""
-    return reports.where((F.col("report_date") >= date_lit(_as_date(wm)))
+    return reports.where((F.col("report_date") >= date_lit(as_date(wm)))
                          & F.col("site_type").isin(*SSP_SITE_TYPES)).select(
         "report_date", "publisher_id", "placement_type", "site_type",
         F.upper("country_code").alias("country_code"), "impressions", "revenue_usd",
@@ -135,7 +136,7 @@ def pull_ssp(reports: DataFrame, wm) -> DataFrame:
 
 def pull_syndication(reports: DataFrame, wm) -> DataFrame:
     """C-05: syndication rows on or after the watermark date, renamed to fact columns."""
-    return reports.where(F.col("transaction_date") >= date_lit(_as_date(wm))).select(
+    return reports.where(F.col("transaction_date") >= date_lit(as_date(wm))).select(
         F.col("transaction_date").alias("event_date"),
         F.col("content_property").alias("organization_id"),
         F.col("partner_name").alias("demand_owner"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,12 +55,26 @@ def source_watermark(ssot: DataFrame, source: str, *, use_default: bool = True)
                      where=where() if where is not None else None)
 
 
-def watermark_value(ssot: DataFrame, source: str, *, use_default: bool = True):
+def watermark_value(ssot: DataFrame, source: str, *, use_default: bool = True,
+                    dates: Sequence[_dt.date] | None = None, trunc: bool = True):
     """B-06: the scalar watermark for ``source`` (one small action, one row to the driver).
 
-    ``use_default=False`` returns None for an empty history (bootstrap, H5).
+    ``use_default=False`` returns None for an empty history (bootstrap, H5). ``dates`` are the
+    partitions of the fact table: a row's watermark lies on its own ``event_date``, so the newest
+    partitions are probed first, twice as many each time, and the scan ends at the first that
+    hold one. ``trunc=False`` keeps the minutes of an hourly watermark.
     """
-    return source_watermark(ssot, source, use_default=use_default).first()[0]
+    col, default, hourly, where = WATERMARKS[source]
+    cond = where() if where is not None else None
+    if dates is None:
+        found = watermark(ssot, col, trunc_hour=hourly and trunc, where=cond).first()[0]
+    else:
+        found, rest, n = None, sorted(dates, reverse=True), 1
+        while rest and found is None:
+            some, rest, n = rest[:n], rest[n:], 2 * n
+            part = ssot.where(F.col("event_date").isin(some))
+            found = watermark(part, col, trunc_hour=hourly and trunc, where=cond).first()[0]
+    return default if found is None and use_default else found
 
 
 def new_data_flag(df: DataFrame, date_col: str, wm, *, where: Column | None = None) -> DataFrame:
@@ -83,8 +98,6 @@ def gam_due(run_ts: _dt.datetime, hour: int = 17) -> bool:
     return run_ts.hour == hour
 
 
-
-
 def ssp_new_data(reports: DataFrame, wm) -> DataFrame:
     """B-07 SSP new-data flag (external site types only)."""
     return new_data_flag(reports, "report_date", wm, where=F.col("site_type").isin(*SSP_SITE_TYPES))

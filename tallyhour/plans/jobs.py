@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyhour.operators import allocation, delta, dq, explode, grouping, merge, pull, watermark
 from tallyhour.schemas import GAM_NETWORK, OWNER_NETWORK, SSOT_COLUMNS
-from tallyhour.session import checkpoint_dir
+from tallyhour.session import checkpoint_dir, configure, run_scratch
 from tallyhour.sources.staging import STAGING_LAYOUT, stage_table, write_named_staging
 
 
@@ -46,7 +46,9 @@ class Options:
     bounding_mode: str = "bounded"                # H12: "equal" | "bounded"
     gam_hour: int | None = 17                     # B-11; None = no gate
     check_cardinality: bool = True                # I-07
-    dq_scope: str = "full"                        # "full" (reference) | "touched": fact checks on touched dates
+    dq_scope: str = "touched"                     # "touched": checks on this run's dates | "full": whole table
+    progress: Mapping[str, _dt.date] = field(default_factory=dict)  # last day read by source, matched or not
+    fact_dates: tuple | None = None               # partitions of the fact table, where they are known
     events_partition_col: str | None = None       # day-partition column of the raw events table, if any
     gam_partition_col: str | None = None          # day-partition column of the GAM table, if any
     materialize: bool = True                      # stage merge sources and merged partitions
@@ -58,7 +60,7 @@ class Options:
     def parity(cls, **kw) -> Options:
         base = dict(null_mode="sentinel", events_bounds="exclusive", bootstrap_from_source=False, skip_gaps=False,
                     watermark_on_insert=False, explode_remainder="first_row", dp_allocation="per_row",
-                    owner_actual="replace", lookback_days=0, bounding_mode="equal")
+                    owner_actual="replace", lookback_days=0, bounding_mode="equal", dq_scope="full")
         base.update(kw)
         return cls(**base)
 
@@ -84,8 +86,8 @@ class JobResult:
 def _materialize(df: DataFrame, opts: Options, name: str = "stage") -> DataFrame:
     """Stage ``df`` in the shared checkpoint folder (the Spark form of the reference's STG
     tables): cuts lineage, survives executor loss and is computed once however often it is
-    read. ``checkpoint`` is a reliable checkpoint (one write job, cheapest for small staged
-    data); ``parquet`` writes a table whose re-read keeps statistics, pushdown and pruning."""
+    read. ``checkpoint`` is a reliable checkpoint (its input is computed twice, so it suits small
+    staged data); ``parquet`` writes a table once, whose re-read keeps statistics, pushdown and pruning."""
     if not opts.materialize:
         return df
     if opts.staging_dir and name in STAGING_LAYOUT:
@@ -96,8 +98,13 @@ def _materialize(df: DataFrame, opts: Options, name: str = "stage") -> DataFrame
     return df.checkpoint(eager=True)
 
 
-def _merge(ssot: DataFrame, source: DataFrame, spec, opts: Options, dates=None):
-    return merge.merge_into(ssot, source, spec, dates=dates, check_cardinality=opts.check_cardinality,
+def _merge(ssot: DataFrame, source: DataFrame, spec, opts: Options, dates=None, unique: bool = False):
+    """``unique``: the source is grouped by its null-safe grain, so that no target row can match
+    twice and the test (a shuffle of its own) is left out."""
+    check = opts.check_cardinality and not (unique and opts.null_mode == "null_safe")
+    if dates is None and not check:
+        dates = sorted((r[0] for r in source.select("event_date").distinct().collect()), key=lambda d: (d is None, d))
+    return merge.merge_into(ssot, source, spec, dates=dates, check_cardinality=check,
                             materialize=lambda d: _materialize(d, opts),
                             materialize_scope="table" if opts.compact else "merged")
 
@@ -105,7 +112,8 @@ def _merge(ssot: DataFrame, source: DataFrame, spec, opts: Options, dates=None):
 # --- L-01 ------------------------------------------------------------------
 
 def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Options) -> dict:
-    wm = watermark.watermark_value(ssot, "events_stream", use_default=not opts.bootstrap_from_source)
+    wm = watermark.watermark_value(ssot, "events_stream", use_default=not opts.bootstrap_from_source,
+                                   dates=opts.fact_dates)
     span = opts.events_span
     if wm is None:       # bootstrap (H5): no history, start at the first source event
         if span is None:
@@ -120,14 +128,16 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
     if opts.catch_up:
         span = None
     if opts.skip_gaps and span is not None and wm_used is not None:
-        # H6: if nothing arrived inside the window, stretch it to the first event after the watermark
+        # H6: the watermark's own hour is already loaded, so look for the first event after the last
+        # loaded one; if the window ends before it, the window moves there
+        loaded = watermark.watermark_value(ssot, "events_stream", use_default=False, dates=opts.fact_dates, trunc=False)
         ts = F.col("timestamp")
-        after = ts > F.lit(wm_used) if bounds == "exclusive" else ts >= F.lit(wm_used)
-        nxt = inputs["events_stream"].where(after).agg(F.min("timestamp")).first()[0]
+        later = ts >= F.lit(wm_used) if loaded is None else ts > F.lit(loaded)
+        nxt = inputs["events_stream"].where(later).agg(F.min("timestamp")).first()[0]
         if nxt is not None:
             start = nxt.replace(minute=0, second=0, microsecond=0)
-            if start > wm_used:
-                span = (start - wm_used) + span
+            if start >= wm_used + span:
+                wm_used = start
     if wm_used is None:
         pulled = pull.pull_events(inputs["events_stream"], None, span=None)
     else:
@@ -141,7 +151,7 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
 def run_events(inputs, ssot: DataFrame, opts: Options) -> JobResult:
     st = events_staged(inputs, ssot, opts)
     spec = merge.events_spec(opts.run_ts, null_mode=opts.null_mode, owner_actual=opts.owner_actual)
-    res = _merge(ssot, st["grouped"], spec, opts)
+    res = _merge(ssot, st["grouped"], spec, opts, unique=True)
     return JobResult(res.table, True, {"grouped": st["grouped"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
@@ -149,7 +159,7 @@ def run_events(inputs, ssot: DataFrame, opts: Options) -> JobResult:
 # --- L-02 / L-03 -----------------------------------------------------------
 
 def ssp_staged(inputs, ssot, opts: Options) -> dict:
-    wm = watermark.watermark_value(ssot, "ssp")
+    wm = watermark.watermark_value(ssot, "ssp", dates=opts.fact_dates)
     has = watermark.has_new_data(inputs["fact_ssp_report"], "report_date", wm,
                                  where=F.col("site_type").isin(*watermark.SSP_SITE_TYPES))
     pulled = pull.pull_ssp(inputs["fact_ssp_report"], wm)
@@ -165,13 +175,13 @@ def run_ssp(inputs, ssot, opts: Options) -> JobResult:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.ssp_spec(opts.run_ts, st["watermark"], null_mode=opts.null_mode,
                           watermark_on_insert=opts.watermark_on_insert)
-    res = _merge(ssot, st["exploded"], spec, opts)
+    res = _merge(ssot, st["exploded"], spec, opts, unique=opts.explode_remainder == "per_grain")
     return JobResult(res.table, True, {"exploded": st["exploded"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
 
 def syndication_staged(inputs, ssot, opts: Options) -> dict:
-    wm = watermark.watermark_value(ssot, "syndication")
+    wm = watermark.watermark_value(ssot, "syndication", dates=opts.fact_dates)
     has = watermark.has_new_data(inputs["fact_syndication_revenue"], "transaction_date", wm)
     pulled = pull.pull_syndication(inputs["fact_syndication_revenue"], wm)
     exploded = explode.syndication_explode(pulled, remainder=opts.explode_remainder)
@@ -186,7 +196,7 @@ def run_syndication(inputs, ssot, opts: Options) -> JobResult:
         return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
     spec = merge.syndication_spec(opts.run_ts, st["watermark"], null_mode=opts.null_mode,
                                   watermark_on_insert=opts.watermark_on_insert)
-    res = _merge(ssot, st["exploded"], spec, opts)
+    res = _merge(ssot, st["exploded"], spec, opts, unique=opts.explode_remainder == "per_grain")
     return JobResult(res.table, True, {"exploded": st["exploded"]},
                      {"watermark": st["watermark"]}, res.merged, res.dates, st)
 
@@ -198,44 +208,56 @@ DP_EXCLUDED_NETWORKS = (GAM_NETWORK, OWNER_NETWORK)
 
 def demand_partner_staged(inputs, ssot, opts: Options) -> dict:
     reports = inputs["fact_demand_partner_reports"]
-    wm = watermark.watermark_value(ssot, "demand_partner")
-    if opts.catch_up:
+    wm = watermark.watermark_value(ssot, "demand_partner", dates=opts.fact_dates)
+    waiting = []
+    if opts.skip_gaps and not opts.catch_up:
+        # H8: a date without traffic must not hold up the others; take all that can be allocated, report the rest
+        pairs = delta.unprocessed_pairs(reports, ssot, wm, lookback_days=opts.lookback_days)
+        found = delta.with_traffic(pairs, ssot).groupBy("report_date").agg(
+            F.max("has_traffic").alias("ready"), F.count_if(~F.col("has_traffic")).alias("waiting")).collect()  # a row per day
+        dates = sorted(r["report_date"] for r in found if r["ready"])
+        waiting = sorted(r["report_date"] for r in found if r["waiting"])
+    elif opts.catch_up:
         dates = delta.pending_dates(reports, ssot, wm, lookback_days=opts.lookback_days)
     else:
         row = delta.oldest_unprocessed(reports, ssot, wm, lookback_days=opts.lookback_days).first()
         dates = [row["increment_column"]] if row is not None and row["has_new_data"] else []
     if not dates:
-        return {"watermark": wm, "dates": []}
+        return {"watermark": wm, "dates": [], "waiting": waiting}
     pulled = pull.pull_date(reports, dates)
     grouped = _materialize(grouping.group_demand_partner(pulled), opts, "demand_partner_grouping")
     slice_df = allocation.ssot_slice(ssot, dates, exclude_networks=DP_EXCLUDED_NETWORKS)
     allocated = _materialize(allocation.demand_partner_allocation(grouped, slice_df, inputs["dim_ad_unit_mapping"],
                                                                   mode=opts.dp_allocation), opts,
                              "demand_partner_allocation")
-    return {"watermark": wm, "dates": dates, "pulled": pulled, "grouped": grouped, "slice": slice_df,
-            "allocated": allocated}
+    return {"watermark": wm, "dates": dates, "waiting": waiting, "pulled": pulled, "grouped": grouped,
+            "slice": slice_df, "allocated": allocated}
 
 
 def run_demand_partner(inputs, ssot, opts: Options) -> JobResult:
     st = demand_partner_staged(inputs, ssot, opts)
     if not st["dates"]:
-        return JobResult(ssot, False, {}, {"watermark": st["watermark"]})
+        return JobResult(ssot, False, {}, {"watermark": st["watermark"], "waiting": st["waiting"]})
     spec = merge.demand_partner_spec(opts.run_ts, null_mode=opts.null_mode)
-    res = _merge(ssot, st["allocated"], spec, opts, dates=st["dates"])
+    res = _merge(ssot, st["allocated"], spec, opts, dates=st["dates"], unique=opts.dp_allocation == "per_path")
     return JobResult(res.table, True,
                      {"grouped": st["grouped"], "allocated": st["allocated"]},
-                     {"watermark": st["watermark"], "dates": st["dates"]}, res.merged, res.dates, st)
+                     {"watermark": st["watermark"], "dates": st["dates"], "waiting": st["waiting"]},
+                     res.merged, res.dates, st)
 
 
 # --- L-05 ------------------------------------------------------------------
 
 def gam_staged(inputs, ssot, opts: Options) -> dict:
     gam = inputs["fact_gam_data_transfer"]
-    wm = watermark.watermark_value(ssot, "gam")
+    wm = watermark.watermark_value(ssot, "gam", dates=opts.fact_dates)
     day_wm = wm
+    read = opts.progress.get("gam")
+    if read is not None and read > pull.as_date(wm):
+        day_wm = read      # H6: a day that was read but matched no traffic is done, too
     if opts.skip_gaps and not opts.catch_up:
         # H6: a day without GAM rows would stall the one-day step; jump to the next day with data
-        nxt = gam.where(pull.gam_days(wm, opts.today_date, catch_up=True)).agg(
+        nxt = gam.where(pull.gam_days(day_wm, opts.today_date, catch_up=True)).agg(
             F.min(F.to_date("timestamp"))).first()[0]
         if nxt is not None:
             day_wm = nxt - _dt.timedelta(days=1)
@@ -303,30 +325,42 @@ def consolidate(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Options,
 def run_all(spark: SparkSession, inputs: Mapping[str, DataFrame], ssot_path: str, opts: Options,
             sources=tuple(ORDER), raise_on_blocking: bool = True) -> DataFrame:
     """Persisted pipeline: each merge rewrites only its touched partitions of ``ssot_path``,
-    then the DQ suite runs; a blocking failure raises after the report is built."""
-    from tallyhour.sources.staging import init_ssot, read_ssot, write_ssot_partitions
+    then the DQ suite runs; a blocking failure raises after the report is built.
+
+    The last day read of GAM is kept beside the table (``<ssot_path>_progress``) and written
+    after the fact rows, so that a lost run reads it again. Staged tables live in one scratch
+    folder, removed at the end; the report holds seven rows and no reference to it.
+    """
+    from tallyhour.sources.staging import (init_ssot, partition_dates, read_progress, read_ssot, write_progress,
+                                           write_ssot_partitions)
 
+    configure(spark)
     init_ssot(spark, ssot_path)
-    checkpoint_dir(spark)
-    results = {}
-    for name in ORDER:
-        if name not in sources:
-            continue
-        cur = read_ssot(spark, ssot_path)
-        # merge sources are staged once (checkpoint or named staging table) and the merged
-        # partitions are materialised, so nothing written below still reads the fact files
-        r = RUNNERS[name](inputs, cur, opts.with_(materialize=True, compact=False))
-        results[name] = r
-        if r.ran and r.merged is not None:
-            write_ssot_partitions(r.merged, ssot_path)
-    final = read_ssot(spark, ssot_path)
-    staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
-    touched = sorted({d for r in results.values() for d in (r.dates or [])})
-    report = dq.run_checks(final, staged, null_mode=opts.null_mode, bounding_mode=opts.bounding_mode,
-                           dates=touched if opts.dq_scope == "touched" else None)
-    report = stage_table(report, "dq_report")
+    opts = opts.with_(progress={**read_progress(spark, ssot_path), **opts.progress})
+    with run_scratch(spark):
+        results = {}
+        for name in ORDER:
+            if name not in sources:
+                continue
+            cur = read_ssot(spark, ssot_path)
+            # sources and merged partitions are staged as tables, so nothing written below still reads fact files
+            r = RUNNERS[name](inputs, cur, opts.with_(materialize=True, compact=False, stage_format="parquet",
+                                                      fact_dates=tuple(partition_dates(spark, ssot_path))))
+            results[name] = r
+            if r.ran and r.merged is not None:
+                merge.check_no_loss(cur, r.merged, r.dates)
+                write_ssot_partitions(r.merged, ssot_path)
+            if name == "gam" and r.info.get("dates"):
+                write_progress(spark, ssot_path, {"gam": max(r.info["dates"])}, opts.run_ts)
+        final = read_ssot(spark, ssot_path)
+        staged = {k: r.staged for k, r in results.items() if r.ran and k != "events_stream"}
+        touched = sorted({d for r in results.values() for d in (r.dates or []) if d is not None})
+        report = dq.run_checks(final, staged, null_mode=opts.null_mode, bounding_mode=opts.bounding_mode,
+                               dates=touched if opts.dq_scope == "touched" else None)
+        rows = report.collect()  # seven rows
+    report = spark.createDataFrame(rows, report.schema)
     if raise_on_blocking:
-        failed = [r["name"] for r in report.where(F.col("status") == "FAIL").collect()]
+        failed = [r["name"] for r in rows if r["status"] == "FAIL"]
         if failed:
             raise dq.BlockingCheckError(f"DQ blocking checks failed: {', '.join(failed)}")
     return report

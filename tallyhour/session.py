@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,8 +52,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster for checkpoints and job-written tables.
 
-    Read from the session; only when nothing is configured (local tests) a
-    fresh scratch folder is created and registered.
+    Read from the session. Where nothing is configured a fresh scratch folder is made in
+    local mode (tests); on a cluster that is an error, as a folder of the driver's machine
+    is not seen by the executors.
     """
     return ensure_checkpoint_dir(spark)
 
@@ -62,13 +66,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tallyhour-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder for a job-written table."""
-    base = checkpoint_dir(spark)
-    import uuid
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A unique path under the shared checkpoint folder (inside :func:`run_scratch`, the run's
+    folder there) for a job-written table."""
+    base = _RUN_FOLDER.get() or os.path.join(checkpoint_dir(spark), "tables")
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_RUN_FOLDER: contextvars.ContextVar[str | None] = contextvars.ContextVar("run_folder", default=None)
+
+
+@contextlib.contextmanager
+def run_scratch(spark: SparkSession):
+    """Scratch tables written inside the block go to one folder, which is removed at its end."""
+    folder = os.path.join(checkpoint_dir(spark), "tables", f"run-{uuid.uuid4().hex[:12]}")
+    token = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -44,7 +44,9 @@ def write_staging(df: DataFrame, path: str, *, partition_cols: Sequence[str] = (
     if partition_expr:
         df = df.withColumns(partition_expr)
         partition_cols = list(partition_cols) + [c for c in partition_expr if c not in partition_cols]
-    w = _layout(df, partition_cols, cluster_cols).write.mode("overwrite")
+    # the session overwrites single partitions (dynamic mode); replacing a table drops all of them
+    w = (_layout(df, partition_cols, cluster_cols).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static"))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
@@ -62,9 +64,10 @@ def write_named_staging(df: DataFrame, staging_dir: str, name: str) -> DataFrame
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    One write job (a reliable RDD checkpoint would compute its input twice),
-    lineage is cut, the files survive executor loss, and the re-read keeps
-    parquet statistics, filter pushdown and column pruning for later stages.
+    One write job, lineage is cut, the files survive executor loss, and the
+    re-read keeps parquet statistics, filter pushdown and column pruning for
+    later stages. (A reliable checkpoint also cuts lineage, but computes its
+    input twice unless that is cached, and keeps no statistics.)
     """
     from tallyhour.session import scratch_path
     path = scratch_path(df.sparkSession, name)
@@ -72,7 +75,8 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-SSOT_CLUSTER = ["event_hour", "organization_id", "network", "event", "country"]
+# Fixed value: cluster columns of the fact table.
+SSOT_CLUSTER = ["organization_id", "network", "event", "country"]
 
 
 def read_ssot(spark: SparkSession, path: str) -> DataFrame:
@@ -90,20 +94,62 @@ def write_ssot_partitions(merged: DataFrame, path: str) -> None:
      .partitionBy("event_date").parquet(path))
 
 
+def _filesystem(spark: SparkSession, path: str):
+    """The Hadoop filesystem and path object of ``path`` (any scheme, default filesystem without one)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _filesystem(spark, path)
+    return fs.exists(jpath)
+
+
 def init_ssot(spark: SparkSession, path: str) -> None:
-    """Create an empty fact table at ``path`` if none exists."""
-    import os
-    if path.startswith("file:"):
-        local = path[5:]
-    else:
-        local = path
-    if "://" in path or os.path.exists(local):
-        try:
-            spark.read.parquet(path).limit(0).collect()
-            return
-        except Exception:  # noqa: BLE001 - absent or empty directory
-            pass
-    spark.createDataFrame([], SSOT_SCHEMA).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    """Create an empty fact table at ``path`` if nothing is there.
+
+    Existence is asked of the cluster filesystem; anything that exists is left as it is, and
+    errors other than absence rise. The write only appends an empty set of rows, so even a race replaces nothing.
+    """
+    fs, jpath = _filesystem(spark, path)
+    if fs.exists(jpath) and len(fs.listStatus(jpath)):
+        return
+    fs.mkdirs(jpath)
+    spark.createDataFrame([], SSOT_SCHEMA).write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def partition_dates(spark: SparkSession, path: str, partition_col: str = "event_date") -> list[_dt.date]:
+    """The dates a table partitioned by ``partition_col`` has directories for (a listing, no data read)."""
+    fs, root = _filesystem(spark, path)
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(partition_col + "="):
+            try:
+                out.append(_dt.date.fromisoformat(name[len(partition_col) + 1:][:10]))
+            except ValueError:      # the directory of rows without a date
+                continue
+    return sorted(out)
+
+
+PROGRESS_SCHEMA = "source string, day date, run_ts timestamp_ntz"
+
+
+def read_progress(spark: SparkSession, ssot_path: str) -> dict[str, _dt.date]:
+    """Last day read by source, whether or not its rows matched traffic."""
+    path = ssot_path.rstrip("/") + "_progress"
+    if not path_exists(spark, path):
+        return {}
+    rows = spark.read.schema(PROGRESS_SCHEMA).parquet(path).groupBy("source").agg(F.max("day").alias("day")).collect()
+    return {r["source"]: r["day"] for r in rows}
+
+
+def write_progress(spark: SparkSession, ssot_path: str, days: dict[str, _dt.date], run_ts: _dt.datetime) -> None:
+    """Add the days read by a run (one small row per source and run; the newest counts)."""
+    rows = spark.createDataFrame([(k, v, run_ts) for k, v in days.items()], PROGRESS_SCHEMA)
+    rows.coalesce(1).write.mode("append").parquet(ssot_path.rstrip("/") + "_progress")
 
 
 def apply_retention(df: DataFrame, date_col: str, days: int, as_of: _dt.date) -> DataFrame:
@@ -124,10 +170,7 @@ def expire_partitions(spark: SparkSession, path: str, partition_col: str, days:
     filesystem (no data is read or rewritten). Returns the dropped partition dates.
     """
     cutoff = as_of - _dt.timedelta(days=days)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs, root = _filesystem(spark, path)
     if not fs.exists(root):
         return []
     dropped = []

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyhour.functions.exprs import hour_of
 from tallyhour.operators import grouping, merge, pull
 from tallyhour.schemas import EVENTS_STREAM_SCHEMA
-from tallyhour.session import scratch_path
+from tallyhour.session import run_scratch, scratch_path
 from tallyhour.sources.staging import init_ssot, read_ssot, stage_table, write_ssot_partitions
 
 
@@ -34,19 +34,27 @@ def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, sso
         # range bound for file/row-group skipping, exact hour set for correctness
         raw = raw.where((F.col("timestamp") >= F.lit(lo)) & (F.col("timestamp") < F.lit(hi))
                         & hour_of("timestamp").isin(hours))
-        grouped = grouping.group_events(pull.pull_events(raw, None, span=None), line_item_dim)
-        target = read_ssot(spark, ssot_path)
-        spec = merge.events_spec(run_ts, null_mode=null_mode, owner_actual=owner_actual)
-        res = merge.merge_into(target, grouped, spec)
-        if res.merged is not None:
-            write_ssot_partitions(stage_table(res.merged, "merged"), ssot_path)
+        with run_scratch(spark):
+            # staged once: the merge reads its keys and dates, and joins it
+            grouped = stage_table(grouping.group_events(pull.pull_events(raw, None, span=None), line_item_dim), "grouped")
+            target = read_ssot(spark, ssot_path)
+            spec = merge.events_spec(run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+                                     null_mode=null_mode, owner_actual=owner_actual)
+            # the batch is grouped by the merge's own key, so no key can match twice under null-safe equality
+            res = merge.merge_into(target, grouped, spec, dates=sorted({h.date() for h in hours}),
+                                   check_cardinality=null_mode != "null_safe")
+            if res.merged is not None:
+                merged = stage_table(res.merged, "merged")
+                merge.check_no_loss(target, merged, res.dates)
+                write_ssot_partitions(merged, ssot_path)
     return handle
 
 
 def events_stream_query(spark: SparkSession, landing: str, line_item_dim: DataFrame, ssot_path: str,
-                        checkpoint: str, *, run_ts, null_mode: str = "sentinel", owner_actual: str = "replace",
+                        checkpoint: str, *, run_ts=None, null_mode: str = "null_safe", owner_actual: str = "coalesce",
                         max_files_per_trigger: int | None = None, available_now: bool = True):
-    """Start the streaming load; returns the ``StreamingQuery``."""
+    """Start the streaming load; returns the ``StreamingQuery``. Without ``run_ts`` every batch is stamped
+    with its own time."""
     init_ssot(spark, ssot_path)
     reader = spark.readStream.schema(EVENTS_STREAM_SCHEMA)
     if max_files_per_trigger:
@@ -58,16 +66,16 @@ def events_stream_query(spark: SparkSession, landing: str, line_item_dim: DataFr
     return w.start()
 
 
-def run_available_now(spark: SparkSession, inputs: dict, *, run_ts, files: int = 8,
-                      max_files_per_trigger: int = 2) -> DataFrame:
+def run_available_now(spark: SparkSession, inputs: dict, *, run_ts, max_files_per_trigger: int = 2, **rules) -> DataFrame:
     """Land the raw events as files, drain them with an AvailableNow stream, return the fact table."""
     landing = scratch_path(spark, "events_landing")
     ssot_path = scratch_path(spark, "ssot_stream")
     ckpt = scratch_path(spark, "events_stream_ckpt")
     ev = inputs["events_stream"]
-    ev.repartition(files, F.to_date("timestamp")).write.mode("overwrite").parquet(landing)
+    # as many files as Spark's shuffle settings and the data give, days kept together
+    ev.repartition(F.to_date("timestamp")).write.mode("overwrite").parquet(landing)
     q = events_stream_query(spark, landing, inputs["dim_line_items_mapping"], ssot_path, ckpt, run_ts=run_ts,
-                            max_files_per_trigger=max_files_per_trigger)
+                            max_files_per_trigger=max_files_per_trigger, **rules)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

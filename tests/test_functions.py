@@ -11,6 +11,15 @@ def test_url_host(spark):
     assert got == ["a.com", "m.b.org", None, None, "c.net", "d.io"]
 
 
+def test_url_host_of_unusual_urls(spark):
+    urls = {"https://bücher.de/a": "bücher.de", "https://[::1]/x": "[::1]", "https://[2001:db8::1]:8080/": "[2001:db8::1]",
+            "//cdn.example.com/x": "cdn.example.com", "   https://www.pad.com/  ": "pad.com", "HTTP://Up.Case": "Up.Case",
+            "ftp://u:p@h.x:21/f?a=b@c": "h.x", "https:///path": None, "https://": None, "": None, "h.x:port": None,
+            "host.only?q=//other.com": "host.only", "a.b#frag": "a.b", "https://x.y\\": "x.y\\"}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r[0]: r[1] for r in df.select("url", domain_of("url")).collect()} == urls
+
+
 def test_canonical_network(spark):
     df = spark.createDataFrame([("Prebid", "Magnite"), ("GAM", "Magnite"), (None, "x")], "n string, p string")
     assert [r[0] for r in df.select(canonical_network("n", "p")).collect()] == ["Magnite", "GAM", None]
