@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyhour.session import checkpoint_dir
 
 #: Rows handed to Python at a time; texts may be long.
-BATCH_ROWS = 1000
+BATCH_ROWS = 512
 #: Separators of words in the contracts: space and \x09 to \x0D.
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 _SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
@@ -37,8 +37,9 @@ def words_of(text: str) -> list[str]:
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that tasks can import it, and keep
-    Arrow batches of long texts small in this session."""
+    batches of long texts small in this session, in Arrow and in the Parquet reader."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_tallyhour_shipped", False):
         return
@@ -77,6 +78,8 @@ def fold(key: str, mod: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(mod)
 
 
+#: Key sets of up to this many rows (of two longs) are broadcast.
+KEYS_BROADCAST = 200_000
 #: Most bits (log2) of the bitmap that tells rows which surely have no key in a set.
 KEY_BITS = 26
 
@@ -110,11 +113,17 @@ def split_by_keys(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns, whose (doc_id, text) is not among the distinct ``keys`` (doc_id, h)."""
+    """Rows of ``docs``, all columns, whose (doc_id, text) is not among the distinct ``keys`` (doc_id, h).
+
+    A few keys (their number is checked) are broadcast; of more keys, a bitmap of bounded size
+    tells which rows need the shuffle join.
+    """
+    pair = keys.select(F.col("doc_id").alias("_key_id"), F.col("h").alias("_key_h"))
+    same = lambda df: df["doc_id"].eqNullSafe(pair["_key_id"]) & (F.xxhash64(df["text"]) == pair["_key_h"])
+    if keys.limit(KEYS_BROADCAST + 1).count() <= KEYS_BROADCAST:
+        return docs.join(F.broadcast(pair), same(docs), "left_anti")
     clear, rest = split_by_keys(docs, keys)
-    keys = keys.select(F.col("doc_id").alias("_key_id"), F.col("h").alias("_key_h"))
-    kept = rest.join(keys, rest["doc_id"].eqNullSafe(keys["_key_id"]) & (F.xxhash64(rest["text"]) == keys["_key_h"]), "left_anti")
-    return clear.unionByName(kept)
+    return clear.unionByName(rest.join(pair, same(rest), "left_anti"))
 
 
 def slices(batch: pa.RecordBatch, col: int, limit: int):
