@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,14 +120,14 @@ def _sigmoid(z):
 class Mixer:
     """Counts of zeros and ones by slot, gated weights, refinement table (log odds)."""
 
-    n0: np.ndarray
-    n1: np.ndarray
+    n0: np.ndarray | None
+    n1: np.ndarray | None
     by_known: np.ndarray
     by_count: np.ndarray
     refine: np.ndarray
 
     @staticmethod
-    def fresh(n0: np.ndarray, n1: np.ndarray) -> "Mixer":
+    def fresh(n0: np.ndarray | None, n1: np.ndarray | None) -> "Mixer":
         k = len(SLOT_BITS)
         return Mixer(n0, n1, np.full((8 * (k + 1), k), 0.3), np.zeros((17, k)), np.zeros((256 * (k + 1), BUCKETS)))
 
@@ -232,47 +233,66 @@ def count_windows(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
 
-def _pairs(batches):
+def _pairs(batches, rows: int = 1 << 16):
+    """(windows, counts) of about ``rows`` rows at a time."""
+    held, size = [], 0
+
+    def joined():
+        return (np.concatenate([h[0] for h in held]).view(np.uint64), np.concatenate([h[1] for h in held]))
+
     for batch in batches:
-        if batch.num_rows:
-            yield (batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64),
-                   batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64))
+        held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+        size += batch.num_rows
+        if size >= rows:
+            yield joined()
+            held, size = [], 0
+    if size:
+        yield joined()
+
 
+#: Slots of a piece of the tables (log2), and windows for which another task is worth its copy of the tables.
+PIECE = 14
+TASK_WINDOWS = 1_000_000
 
-def fit(train: DataFrame) -> Mixer:
-    """Tables, weights and refinement from all rows of ``train`` (text)."""
+
+def fit(train: DataFrame) -> tuple[Mixer, Broadcast]:
+    """Weights and refinement, and the broadcast tables (zeros, ones), from all rows of ``train`` (text)."""
     spark = train.sparkSession
     counted = stage(count_windows(train), "mixing-windows")
+    counted = counted.coalesce(max(12, counted.count() // TASK_WINDOWS))
+    size = -(-int(_BASE[-1]) >> PIECE) << PIECE
 
     def by_slot(batches):
+        """The tables of a task's windows, in pieces."""
+        table = np.zeros((2, size), np.float32)
         for w, n in _pairs(batches):
-            mixed, at, zeros, ones = contexts(w), [], [], []
+            mixed = contexts(w)
             for node, bit in decisions(w):
+                one = bit > 0
                 for s in slots(mixed, node):
-                    at.append(s)
-                    ones.append(n * bit)
-                    zeros.append(n * (1 - bit))
-            u, inv = np.unique(np.concatenate(at), return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u), pa.array(np.bincount(inv, np.concatenate(zeros))), pa.array(np.bincount(inv, np.concatenate(ones)))],
-                names=["slot", "n0", "n1"])
-
-    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros((2, 1 << 14), np.float32)
-        at = rows["slot"].to_numpy() & (1 << 14) - 1
-        out[0, at], out[1, at] = rows["n0"].to_numpy(), rows["n1"].to_numpy()
-        return pd.DataFrame({"part": [key[0]], "counts": [out.tobytes()]})
-
-    by = counted.mapInArrow(by_slot, "slot long, n0 double, n1 double").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    parts = stage(by.withColumn("part", F.shiftright("slot", 14)).groupBy("part").applyInPandas(packed, "part long, counts binary"),
-                  "mixing-tables")
-    size = -(-int(_BASE[-1]) >> 14) << 14
+                    np.add.at(table[0], s[~one], n[~one])
+                    np.add.at(table[1], s[one], n[one])
+        for k in range(size >> PIECE):
+            piece = table[:, k << PIECE:(k + 1) << PIECE]
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([piece.tobytes()], pa.binary())],
+                                                 names=["piece", "counts"])
+
+    def summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(2 << PIECE, np.float64)
+        for c in rows["counts"]:
+            total += np.frombuffer(c, np.float32)
+        return pd.DataFrame({"piece": [key[0]], "counts": [total.astype(np.float32).tobytes()]})
+
+    pieces = stage(counted.mapInArrow(by_slot, "piece long, counts binary").groupBy("piece")
+                   .applyInPandas(summed, "piece long, counts binary"), "mixing-tables")
     n0, n1 = np.zeros(size, np.float32), np.zeros(size, np.float32)
-    for r in parts.toLocalIterator():  # fixed size: the slots of all tables
+    for r in pieces.toLocalIterator():  # fixed size: the slots of all tables
         c = np.frombuffer(bytes(r["counts"]), np.float32).reshape(2, -1)
-        n0[r["part"] << 14:(r["part"] + 1) << 14], n1[r["part"] << 14:(r["part"] + 1) << 14] = c
+        n0[r["piece"] << PIECE:(r["piece"] + 1) << PIECE], n1[r["piece"] << PIECE:(r["piece"] + 1) << PIECE] = c
     tables = spark.sparkContext.broadcast((n0, n1))
-    model = Mixer.fresh(n0, n1)
+    model = Mixer.fresh(None, None)
+    del n0, n1
 
     # weights: every partition learns on from the same weights; the average by windows goes on
     for rate in RATES:
@@ -305,9 +325,8 @@ def fit(train: DataFrame) -> Mixer:
         m = Mixer(n0, n1, *weights)
         total = None
         for w, n in _pairs(batches):
-            for s in range(0, len(w), 1 << 16):
-                got = m.refinement(w[s:s + (1 << 16)], n[s:s + (1 << 16)])
-                total = got if total is None else tuple(t + g for t, g in zip(total, got))
+            got = m.refinement(w, n)
+            total = got if total is None else tuple(t + g for t, g in zip(total, got))
         if total is not None:
             at = np.flatnonzero(total[1])
             yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(t[at]) for t in total)], names=["cell", "ones", "every", "hoped"])
@@ -317,7 +336,7 @@ def fit(train: DataFrame) -> Mixer:
     flat = model.refine.reshape(-1)
     odds = lambda k: np.log((k + 2) / (cells["every"].to_numpy(np.float64) - k + 2))
     flat[cells["cell"].to_numpy(np.int64)] = odds(cells["ones"].to_numpy(np.float64)) - odds(cells["hoped"].to_numpy(np.float64))
-    return model
+    return model, tables
 
 
 class Scorer:
@@ -337,22 +356,22 @@ class Scorer:
         miss = np.flatnonzero(self.keys[at] != w.view(np.int64))
         if len(miss):
             u, inv = np.unique(w[miss], return_inverse=True)
-            new = np.concatenate([self.model.costs(u[s:s + (1 << 16)]) for s in range(0, len(u), 1 << 16)])
+            new = np.concatenate([self.model.costs(u[s:s + (1 << 15)]) for s in range(0, len(u), 1 << 15)])
             cost[miss] = new[inv]
             place = ((u * _MULT) >> np.uint64(64 - self.SIZE)).astype(np.int64)
             self.keys[place], self.cost[place] = u.view(np.int64), new  # the last of equal places stays, key and cost alike
         return np.add.reduceat(cost, np.concatenate([[0], ends[:-1]])) if len(ends) else np.zeros(0)
 
 
-def _blocks(docs: DataFrame, model: Mixer) -> DataFrame:
+def _blocks(docs: DataFrame, model: Mixer, tables: Broadcast) -> DataFrame:
     """Blocks of whole documents: ids, folds, model scores, bytes, and each one's distinct tokens with their numbers."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # the slots of all tables and small weights
+    weights = (model.by_known, model.by_count, model.refine)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Mixer(*tables.value, *weights))
         state = {}
 
         def clear():
@@ -415,8 +434,7 @@ def score(docs: DataFrame) -> DataFrame:
     Rows with crc32(doc_id) mod 5 of 1 are held out; all others with a doc_id are learned from.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    model = fit(docs.where(F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 1)).select("text"))
-    blocks = _blocks(docs, model)
+    blocks = _blocks(docs, *fit(docs.where(F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 1)).select("text")))
 
     def block_tokens(batches):
         """(token, block, number in the block, occurrences in training texts)."""
