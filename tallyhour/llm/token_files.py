@@ -163,7 +163,7 @@ class WordCoder:
 
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     #: The vocabulary's own cut, for lower-cased plain words. Fixed value.
-    CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+    CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
