@@ -48,12 +48,11 @@ def windows(text: str) -> np.ndarray:
     """The four-byte windows of a text as uint32, runs of non-letters counted as one blank."""
     if not text.isascii():
         text = text.lower()
-    b = _FOLD[np.frombuffer((" " + text + "  ").encode("utf-8", "surrogatepass"), np.uint8)]
+    b = _FOLD[np.frombuffer((" " + text + " ").encode("utf-8", "surrogatepass"), np.uint8)]
     blank = b == 32
     keep = np.ones(len(b), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    keep[-2:] = True
-    b = b[keep].astype(np.uint32)
+    b = np.append(b[keep], 32).astype(np.uint32)  # a single letter makes a window, too
     if len(b) < 4:
         return np.zeros(0, np.uint32)
     return b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24
