@@ -66,14 +66,16 @@ def events_stream_query(spark: SparkSession, landing: str, line_item_dim: DataFr
     return w.start()
 
 
-def run_available_now(spark: SparkSession, inputs: dict, *, run_ts, max_files_per_trigger: int = 2, **rules) -> DataFrame:
+def run_available_now(spark: SparkSession, inputs: dict, *, run_ts, files: int | None = None, max_files_per_trigger: int = 2,
+                      **rules) -> DataFrame:
     """Land the raw events as files, drain them with an AvailableNow stream, return the fact table."""
     landing = scratch_path(spark, "events_landing")
     ssot_path = scratch_path(spark, "ssot_stream")
     ckpt = scratch_path(spark, "events_stream_ckpt")
     ev = inputs["events_stream"]
-    # as many files as Spark's shuffle settings and the data give, days kept together
-    ev.repartition(F.to_date("timestamp")).write.mode("overwrite").parquet(landing)
+    # days kept together, in as many files as Spark's shuffle settings and the data give (or ``files``)
+    day = F.to_date("timestamp")
+    (ev.repartition(files, day) if files else ev.repartition(day)).write.mode("overwrite").parquet(landing)
     q = events_stream_query(spark, landing, inputs["dim_line_items_mapping"], ssot_path, ckpt, run_ts=run_ts,
                             max_files_per_trigger=max_files_per_trigger, **rules)
     q.awaitTermination()
