@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,18 @@ from .common import scratch, ship, slices, stage, strings
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0], np.int64)
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0], np.int64)
 BLOCK = 1024
-SEGMENT_IDS = 1 << 17
-SEGMENTS_PER_FILE = 64
+SEGMENT_IDS = 1 << 18
+SEGMENTS_PER_FILE = 32
 MAGIC = int.from_bytes(b"S8TOKENS", "little")
 SYNC = b"\x00S8SYNC\n"
-#: Words that a task remembers.
-MEMORY = 400_000
+#: Words that a worker remembers.
+MEMORY = 600_000
 SLICE_BYTES = 4 << 20
 
 
+_BITS = np.array([int(i).bit_length() for i in range(1 << 16)], np.uint8)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, word offset of every block) of unsigned 64-bit ids."""
     ids = np.ascontiguousarray(ids, np.uint64)
@@ -52,8 +56,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     v = np.zeros(blocks * BLOCK, np.uint64)
     v[:n] = ids
-    high = np.frexp(v.astype(np.float64))[1]  # an upper bound of the bit length
-    bits = np.where(v < 1 << 52, high, 64 - (v < 1 << 60) * 4).astype(np.uint8).reshape(blocks, BLOCK)
+    if n and int(ids.max()) < len(_BITS):
+        bits = _BITS[v].reshape(blocks, BLOCK)
+    else:
+        high = np.frexp(v.astype(np.float64))[1]  # an upper bound of the bit length
+        bits = np.where(v < 1 << 52, high, 64 - (v < 1 << 60) * 4).astype(np.uint8).reshape(blocks, BLOCK)
     most = {1: bits}
     for p in (2, 4, 8, 16, 32):  # most[p][i]: widest of p ids from i on; nothing beyond the block
         h = most[p // 2]
@@ -66,7 +73,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = most[p].copy()
         if c > p:
             np.maximum(m[:, :-(c - p)], most[p][:, c - p:], out=m[:, :-(c - p)])
-        choice[m <= WIDTHS[s]] = s
+        np.copyto(choice, np.uint8(s), where=m <= np.uint8(WIDTHS[s]))
     choice = choice.ravel()
     step = np.where(choice == 0, 1, COUNTS[choice])
     end = np.minimum((np.arange(blocks) + 1) * BLOCK, n)
@@ -84,11 +91,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for s in range(1, 15):
         k = np.flatnonzero(sel == s)
         if len(k):
-            w = np.full(len(k), s << 60, np.uint64)
-            for j in range(int(COUNTS[s])):
-                i = begin[k] + j
-                w |= np.where(i < last[k], padded[i], 0).astype(np.uint64) << np.uint64(j * WIDTHS[s])
-            words[place[k]] = w
+            w, first, c = np.zeros(len(k), np.uint64), begin[k], int(COUNTS[s])
+            for j in range(c):
+                w |= padded[first + j] << np.uint64(j * WIDTHS[s])
+            over = np.flatnonzero(first + c > last[k])  # the last word of a block must not take the next one's ids
+            if len(over):
+                w[over] &= (np.uint64(1) << ((last[k][over] - first[over]) * WIDTHS[s]).astype(np.uint64)) - np.uint64(1)
+            words[place[k]] = w | np.uint64(s << 60)
     k = np.flatnonzero(sel == 0)
     words[place[k] + 1] = v[begin[k]]
     return words, place[np.searchsorted(begin, np.arange(blocks) * BLOCK)]
@@ -116,11 +125,16 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     for s in range(1, 15):
         k = np.flatnonzero(sel == s)
         if len(k):
-            mask = np.uint64((1 << int(WIDTHS[s])) - 1)
-            for j in range(int(COUNTS[s])):
-                i = begin[k] + j
-                ok = i < end[k]
-                out[i[ok]] = (words[at[k[ok]]] >> np.uint64(j * WIDTHS[s])) & mask
+            mask, c = np.uint64((1 << int(WIDTHS[s])) - 1), int(COUNTS[s])
+            whole = begin[k] + c <= end[k]
+            w, first = words[at[k[whole]]], begin[k[whole]]
+            for j in range(c):
+                out[first + j] = (w >> np.uint64(j * WIDTHS[s])) & mask
+            part = k[~whole]  # a block's last word may hold fewer
+            for j in range(c if len(part) else 0):
+                i = begin[part] + j
+                ok = i < end[part]
+                out[i[ok]] = (words[at[part[ok]]] >> np.uint64(j * WIDTHS[s])) & mask
     k = np.flatnonzero(sel == 0)
     out[begin[k]] = words[at[k] + 1]
     return out
@@ -167,33 +181,32 @@ class WordCoder:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: what every special token starts with; words that hold it go through the library whole
+        self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.stand_in = {b: c for c, b in _byte_chars().items()}
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        known, merge, cut = self.known, self.tokenizer.model.tokenize, self.CUT.findall
+        known, pieces, cut, plain, marks = self.known, self.pieces, self.CUT.findall, self.PLAIN.fullmatch, self.marks
         if len(known) > MEMORY:
             known.clear()
-        whole, several, pieces = [], [], set()
+            pieces.clear()
+        whole, several, missing = [], [], set()
         for w in words - known.keys():
-            if self.PLAIN.fullmatch(w) and not any(s in w for s in self.specials):
+            if plain(w) and not any(map(w.__contains__, marks)):
                 p = cut(w.lower())
                 several.append((w, p))
-                pieces.update(p)
+                missing.update(p)
             else:
                 whole.append(w)
-        found = {}
-        for p in pieces:
-            ids = known.get("\n" + p)
-            if ids is None:
-                mapped = p if p.isascii() else "".join(map(self.stand_in.__getitem__, p.encode()))
-                ids = known["\n" + p] = np.array([t.id for t in merge(mapped)], "<u4").tobytes()
-            found[p] = ids
+        merge, stand_in = self.tokenizer.model.tokenize, self.stand_in.__getitem__
+        for p in missing - pieces.keys():
+            pieces[p] = array("I", [t.id for t in merge(p if p.isascii() else "".join(map(stand_in, p.encode())))]).tobytes()
         for w, p in several:
-            known[w] = found[p[0]] if len(p) == 1 else b"".join([found[x] for x in p])
+            known[w] = pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p])
         for w, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+            known[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -205,14 +218,15 @@ class WordCoder:
 
 
 def coder(path: str) -> WordCoder:
-    """A new coder, so that a task's memory ends with it; only the tokenizer stays in the worker."""
-    kept = sys.modules[__name__].__dict__.setdefault("_TOKENIZERS", {})
+    """The worker's coder of this file, kept between tasks."""
+    kept = sys.modules[__name__].__dict__.setdefault("_CODERS", {})
     if path not in kept:
         from tokenizers import Tokenizer
-        kept[path] = Tokenizer.from_file(path)
-        kept[path].no_truncation()
-        kept[path].no_padding()
-    return WordCoder(kept[path])
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        kept[path] = WordCoder(tokenizer)
+    return kept[path]
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
