@@ -45,6 +45,14 @@ def _days(inputs: dict, keep) -> dict:
     return out
 
 
+LAST_DAY = _dt.date(2024, 1, 30)
+
+
+def before(inputs: dict, day: _dt.date) -> dict:
+    """Inputs as they were before ``day``."""
+    return _days(inputs, lambda n, d: d < F.lit(day))
+
+
 def persisted_two_runs(spark: SparkSession, sf_dir: str, staged: bool = False) -> DataFrame:
     """The fact table after two hardened ``run_all`` runs, new days arriving in between."""
     configure(spark)
@@ -52,7 +60,7 @@ def persisted_two_runs(spark: SparkSession, sf_dir: str, staged: bool = False) -
     path = scratch_path(spark, "persisted")
     staging = scratch_path(spark, "persisted_staging") if staged else None
     opts = Options(run_ts=RUN_TS, catch_up=True, staging_dir=staging)
-    run_all(spark, _days(inputs, lambda n, d: d < F.lit(CUTOFF)), path, opts)
+    run_all(spark, before(inputs, CUTOFF), path, opts)
     run_all(spark, inputs, path, opts.with_(run_ts=SECOND_RUN_TS))
     return read_ssot(spark, path)
 
