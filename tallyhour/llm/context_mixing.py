@@ -45,10 +45,10 @@ _PAD = END * 5
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MULT2 = np.uint64(0xD6E8FEB86659FD93)
 #: Slots of each context's table (log2): the last 1, 2, 3, 4, 5 bytes, the word so far.
-SLOT_BITS = (14, 17, 19, 20, 21, 21)
+SLOT_BITS = (14, 18, 20, 21, 22, 22)
 _BASE = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 PRIOR = 0.3
-RATES = (0.05, 0.02)
+RATES = (0.05, 0.05, 0.03, 0.02)
 STEP = 4096
 BUCKETS = 24
 REFINED = 0.5
@@ -252,6 +252,7 @@ def _pairs(batches, rows: int = 1 << 16):
 
 #: Slots of a piece of the tables (log2), and windows for which another task is worth its copy of the tables.
 PIECE = 14
+MOST = 60_000
 TASK_WINDOWS = 1_000_000
 
 
@@ -259,7 +260,7 @@ def fit(train: DataFrame) -> tuple[Mixer, Broadcast]:
     """Weights and refinement, and the broadcast tables (zeros, ones), from all rows of ``train`` (text)."""
     spark = train.sparkSession
     counted = stage(count_windows(train), "mixing-windows")
-    counted = counted.coalesce(max(12, counted.count() // TASK_WINDOWS))
+    counted = counted.coalesce(max(4, counted.count() // TASK_WINDOWS))
     size = -(-int(_BASE[-1]) >> PIECE) << PIECE
 
     def by_slot(batches):
@@ -282,13 +283,16 @@ def fit(train: DataFrame) -> tuple[Mixer, Broadcast]:
         total = np.zeros(2 << PIECE, np.float64)
         for c in rows["counts"]:
             total += np.frombuffer(c, np.float32)
-        return pd.DataFrame({"piece": [key[0]], "counts": [total.astype(np.float32).tobytes()]})
+        # half precision: the larger count of a slot is scaled down to what it holds
+        total = total.reshape(2, -1)
+        total *= np.minimum(1, MOST / np.maximum(total.max(0), 1))
+        return pd.DataFrame({"piece": [key[0]], "counts": [total.astype(np.float16).tobytes()]})
 
     pieces = stage(counted.mapInArrow(by_slot, "piece long, counts binary").groupBy("piece")
                    .applyInPandas(summed, "piece long, counts binary"), "mixing-tables")
-    n0, n1 = np.zeros(size, np.float32), np.zeros(size, np.float32)
+    n0, n1 = np.zeros(size, np.float16), np.zeros(size, np.float16)
     for r in pieces.toLocalIterator():  # fixed size: the slots of all tables
-        c = np.frombuffer(bytes(r["counts"]), np.float32).reshape(2, -1)
+        c = np.frombuffer(bytes(r["counts"]), np.float16).reshape(2, -1)
         n0[r["piece"] << PIECE:(r["piece"] + 1) << PIECE], n1[r["piece"] << PIECE:(r["piece"] + 1) << PIECE] = c
     tables = spark.sparkContext.broadcast((n0, n1))
     model = Mixer.fresh(None, None)

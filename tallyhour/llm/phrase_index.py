@@ -24,6 +24,7 @@ match; null item ids match but are not listed.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -254,13 +255,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> Da
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near_items (items with a window whose
     words all lie within ``slop`` words of their places) of every document."""
     index = build_index(docs)
-    found = [lookup(index, w, slop) for w in _blocks(benchmark)]
+    blocks = _blocks(benchmark)
+    first, second = next(blocks), next(blocks, None)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = found[0].select("doc_id", "n_words", F.array("spans").alias("spans"), "items", "close")
-    if len(found) > 1:
-        every = found[0]
-        for f in found[1:]:
-            every = every.unionByName(f.where(F.size("close") > 0))
+    every = lookup(index, first, slop)
+    rows = every.select("doc_id", "n_words", F.array("spans").alias("spans"), "items", "close")
+    if second is not None:
+        # one pass at a time; of the passes after the first only documents with a match are kept
+        every = stage(every, "phrase-pass")
+        for w in chain([second], blocks):
+            every = every.unionByName(stage(lookup(index, w, slop).where(F.size("close") > 0), "phrase-pass"))
         rows = (every.groupBy("file", "row", "nth")
                 .agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
                      F.collect_list("spans").alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
