@@ -1,5 +1,6 @@
 import importlib.util
 import os
+import re
 
 import duckdb
 
@@ -24,12 +25,15 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_and_matches(spark):
     m = _entry()
     qs, sqls = m.queries(), m.oracle_sql()
-    assert set(qs) == set(sqls)
+    own = {q for q in qs if q != "pipeline" and not re.match(r"op\d+_", q)}  # the others need no SQL
+    assert own <= set(sqls) <= set(qs)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     for name in ["events_hourly_grouping", "gam_allocation", "dp_allocation", "ssp_explode", "merge_ssp_safe",
-                 "consolidated_all_sources", "dq_suite", "dp_smart_delta"]:
+                 "consolidated_all_sources", "dq_suite", "dp_smart_delta", "url_shapes", "staging_by_expression",
+                 "safe_single_step_events_gap", "parity_single_step_events_gap", "safe_single_step_dp_head_of_line",
+                 "ssp_explode_twins", "ssp_explode_twins_safe", "dp_allocation_twins", "dp_allocation_twins_safe"]:
         df = qs[name](spark, SF)
         cols = sorted(df.columns)
         got = sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.select(*cols).collect()),
