@@ -52,8 +52,8 @@ RATES = (0.05, 0.05, 0.03, 0.02)
 STEP = 4096
 BUCKETS = 24
 REFINED = 0.5
-BLOCK_TOKENS = 2_000_000
-SLICE_BYTES = 4 << 20
+BLOCK_TOKENS = 1_000_000
+SLICE_BYTES = 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
