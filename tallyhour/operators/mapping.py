@@ -2,8 +2,9 @@
 
 One small action proves that the join key is unique (a duplicate would fan facts
 out, H10). It runs every time the join is planned, on the data as it is then: a
-dimension rewritten between runs of one session is checked anew. The joins carry
-no hint; Spark broadcasts a side by its measured size (AQE), whatever its rows.
+dimension rewritten between runs of one session is checked anew. A second small
+aggregate measures the dimension's bytes; up to ``BROADCAST_BYTES`` it is broadcast,
+beyond that the join is a shuffle join, which AQE may still turn into a broadcast.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.sql import functions as F
 from tallyhour.functions.exprs import normalise_country_code
 from tallyhour.schemas import GAM_PARTNER
 
+BROADCAST_BYTES = 64 << 20
+
+
 class DimensionKeyError(ValueError):
     """A dimension has duplicate join keys."""
 
 
 def checked_dim(dim: DataFrame, key_exprs: Sequence[Column]) -> DataFrame:
-    """Return ``dim`` after checking that its key is unique.
+    """Return ``dim`` after checking that its key is unique, with a broadcast hint if it is small.
 
     Rows with a null key can never match an equality join and are ignored by
     the uniqueness test.
@@ -35,7 +39,11 @@ def checked_dim(dim: DataFrame, key_exprs: Sequence[Column]) -> DataFrame:
     bad = [tuple(r[k] for k in kcols) for r in per_key.where("_n > 1").limit(10).collect()]
     if bad:
         raise DimensionKeyError(f"dimension key not unique; duplicated keys (up to 10): {bad}")
-    return dim
+    width = F.lit(16)
+    for f in dim.schema.fields:
+        width = width + F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 8
+    size = dim.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(dim) if size <= BROADCAST_BYTES else dim
 
 
 def map_advertiser(df: DataFrame, dim: DataFrame, *, line_item_col: str = "line_item") -> DataFrame:
