@@ -19,20 +19,23 @@ def _d(v):
     return v
 
 
-def unprocessed_pairs(reports: DataFrame, ssot: DataFrame, wm, *, lookback_days: int = 0) -> DataFrame:
+def unprocessed_pairs(reports: DataFrame, ssot: DataFrame, wm, *, lookback_days: int | None = 0) -> DataFrame:
     """(report_date, partner_name) pairs that arrived on/after ``wm - lookback_days`` but have
     no fact row with actual revenue for that (date, network).
 
     ``lookback_days`` > 0 re-examines recent dates so a partner delivering an
-    older date late is still picked up (H7); 0 is the reference behaviour.
+    older date late is still picked up (H7); 0 is the reference behaviour; None takes the
+    reports of every date.
     """
-    lo = date_lit(_d(wm) - _dt.timedelta(days=lookback_days))
-    arriving = reports.where(F.col("report_date") >= lo).select("report_date", "partner_name").distinct()
+    if lookback_days is not None:
+        lo = date_lit(_d(wm) - _dt.timedelta(days=lookback_days))
+        reports, ssot = reports.where(F.col("report_date") >= lo), ssot.where(F.col("event_date") >= lo)
+    arriving = reports.where(F.col("report_date").isNotNull()).select("report_date", "partner_name").distinct()
     # (day, network) pairs are few, but nothing bounds them here: the fact side is folded to pairs
     # before any shuffle, and Spark broadcasts the small sides by their measured size.
     partners = arriving.select(F.col("partner_name").alias("_p")).distinct()
     processed = (
-        ssot.where((F.col("event_date") >= lo) & F.col("actual_revenue").isNotNull())
+        ssot.where(F.col("actual_revenue").isNotNull())
         .select("event_date", "network").distinct()
         .join(partners, F.col("network") == F.col("_p"), "left_semi"))
     cond = ((arriving["partner_name"] == processed["network"])

@@ -42,7 +42,7 @@ class Options:
     explode_remainder: str = "per_grain"          # H4: "per_grain" | "first_row"
     dp_allocation: str = "per_path"               # H9: "per_path" | "per_row"
     owner_actual: str = "coalesce"                # H16: "coalesce" | "replace"
-    lookback_days: int = 7                        # H7
+    lookback_days: int = 7                        # H7; dates with traffic are taken however old they are (H8)
     bounding_mode: str = "bounded"                # H12: "equal" | "bounded"
     gam_hour: int | None = 17                     # B-11; None = no gate
     check_cardinality: bool = True                # I-07
@@ -210,13 +210,16 @@ def demand_partner_staged(inputs, ssot, opts: Options) -> dict:
     reports = inputs["fact_demand_partner_reports"]
     wm = watermark.watermark_value(ssot, "demand_partner", dates=opts.fact_dates)
     waiting = []
-    if opts.skip_gaps and not opts.catch_up:
-        # H8: a date without traffic must not hold up the others; take all that can be allocated, report the rest
-        pairs = delta.unprocessed_pairs(reports, ssot, wm, lookback_days=opts.lookback_days)
+    if opts.skip_gaps:
+        # H8: a date without traffic must not hold up the others; take all that can be allocated, report the rest.
+        # The watermark may be far ahead of a waiting or late report, so every date is looked at
+        pairs = delta.unprocessed_pairs(reports, ssot, wm, lookback_days=None)
         found = delta.with_traffic(pairs, ssot).groupBy("report_date").agg(
             F.max("has_traffic").alias("ready"), F.count_if(~F.col("has_traffic")).alias("waiting")).collect()  # a row per day
         dates = sorted(r["report_date"] for r in found if r["ready"])
         waiting = sorted(r["report_date"] for r in found if r["waiting"])
+        if opts.catch_up:
+            dates = sorted({*dates, *delta.pending_dates(reports, ssot, wm, lookback_days=opts.lookback_days)})
     elif opts.catch_up:
         dates = delta.pending_dates(reports, ssot, wm, lookback_days=opts.lookback_days)
     else:

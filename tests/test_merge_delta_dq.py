@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhour.operators import delta, dq, merge
+from tallyhour.plans.jobs import Options, run_demand_partner
 from tallyhour.schemas import DEMAND_PARTNER_SCHEMA, GRAIN
+from tallyhour.sources.fixtures import dimension
 from tallyhour.sources.tables import empty_ssot
 
 from conftest import RUN_TS, fact, ssot_rows
@@ -140,6 +142,23 @@ def test_partner_lookback_picks_up_late_older_date(spark):
     assert tuple(delta.oldest_unprocessed(reports, ssot, wm, lookback_days=7).first()) == (True, d5)
 
 
+@pytest.mark.parametrize("catch_up", [False, True])
+def test_partner_report_is_taken_when_its_traffic_comes_weeks_later(spark, catch_up):
+    d1, d25 = dt.date(2024, 1, 1), dt.date(2024, 1, 25)
+    report = lambda d, p: (d, p, "o", None, "us", 4, 2.0)
+    inputs = {"fact_demand_partner_reports": spark.createDataFrame([report(d1, "A"), report(d25, "A")], DEMAND_PARTNER_SCHEMA),
+              "dim_ad_unit_mapping": dimension(spark, "dim_ad_unit_mapping")}
+    traffic = lambda d: fact(d, network="A", organization_id="o", country="US", tracked_event_count=4)
+    opts = Options(run_ts=RUN_TS)
+    first = run_demand_partner(inputs, ssot_rows(spark, [traffic(25)]), opts)
+    assert first.info["dates"] == [d25] and first.info["waiting"] == [d1]
+    late = first.ssot.unionByName(ssot_rows(spark, [traffic(1)]))
+    second = run_demand_partner(inputs, late, opts.with_(catch_up=catch_up))
+    assert second.info["dates"] == [d1] and second.info["waiting"] == []
+    assert {r["event_date"]: r["actual_revenue"] for r in second.ssot.collect()} == {d1: 2.0, d25: 2.0}
+    assert not run_demand_partner(inputs, second.ssot, opts).ran
+
+
 def test_owner_rule_replace_vs_coalesce(spark):
     target = ssot_rows(spark, [fact(network="MinuteSSP", tracked_event_count=1, actual_revenue=9.0)])
     src = _grouped(spark, [fact(network="MinuteSSP", tracked_event_count=2, actual_revenue=None,
