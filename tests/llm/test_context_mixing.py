@@ -96,3 +96,36 @@ def test_query_base_matches_brute_force(spark, sf_small):
         assert r["base_score"] == pytest.approx(b)
     held = [r["bits_per_byte"] for r in got.values() if r["held_out"]]
     assert sum(held) / len(held) < 4
+
+
+def exact(texts):
+    """(context, predictor, first bits of a byte) -> how often, by brute force."""
+    c = Counter()
+    for t in texts:
+        w = cm.windows([cm.stream(cm.tokens(t))])[0]
+        for i, past in enumerate(cm.pasts(w)):
+            for p, b in zip(past.tolist(), (w & np.uint64(255)).tolist()):
+                c.update((i, p, level, b >> 8 - level) for level in range(9))
+    return c
+
+
+def test_counts_of_every_context_are_exact(spark, docs_of):
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(c) for c in rng.choice([32, 32, 97, 98, 99, 0, 233, 0x4E2D], 300)) for _ in range(12)]
+    texts += [bytes(rng.integers(33, 127, 4000, np.uint8)).decode() for _ in range(4)] + ["zz " * 30_000]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    learned = [t for d, t in docs if zlib.crc32(str(d).encode()) % 5 != 1]
+    assert len(learned) < len(docs)
+    want = exact(learned)
+    gathered = cm.gather_windows(cm._blocks(docs_of(docs)))
+    short = cm.Short(*cm.count_short(gathered))
+    seen = 0
+    for r in gathered.collect():
+        w, n = np.frombuffer(r["windows"], np.uint64), np.frombuffer(r["n"], np.int64)
+        counts = short.counts(w, n)
+        for i, past in enumerate(cm.pasts(w)):
+            for j, (p, b) in enumerate(zip(past.tolist(), (w & np.uint64(255)).tolist())):
+                assert counts[i, :, j].tolist() == [want[i, p, level, b >> 8 - level] for level in range(9)]
+        seen += len(w)
+    assert seen == len(np.unique(np.concatenate([cm.windows([cm.stream(cm.tokens(t))])[0] for t in texts])))
+    assert max(want.values()) > 60_000  # more than half precision holds
