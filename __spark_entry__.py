@@ -196,12 +196,11 @@ def _scenario(make, **kw):
 
 
 def _skipped_source(spark, sf):
-    """I-06: a source without new data merges nothing."""
+    """I-06: sources without new data merge nothing (hardened rules, under which both have a watermark)."""
     from tallyhour.plans.jobs import run_ssp, run_syndication
-    b = _b(spark, sf)
-    opts = b.opts.with_(materialize=False)
-    none = {**b.inputs, "fact_syndication_revenue": b.inputs["fact_syndication_revenue"].where(F.lit(False))}
-    return _r(run_syndication(none, run_ssp(b.inputs, b.final, opts).ssot, opts).ssot)
+    b = _b(spark, sf, "safe")
+    opts = b.opts.with_(materialize=False, run_ts=scenarios.SECOND_RUN_TS)
+    return _r(run_syndication(b.inputs, run_ssp(b.inputs, b.final, opts).ssot, opts).ssot)
 
 
 def _key_profile(spark, sf):

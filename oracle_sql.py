@@ -624,7 +624,7 @@ _SCENARIOS = {
     "url_shapes": (dict, URL_SHAPES, []),
     "staging_by_expression": (lambda: dict(VIEWS), f"""select cast(timestamp as date) as event_date, event, count(*) as events
  from events_stream where cast(timestamp as date) < {CUTOFF} group by all""", []),
-    "merge_skipped_source": (lambda: pipeline_ctes("parity"), "select * from ssot5", _SSOT_D),
+    "merge_skipped_source": (lambda: pipeline_ctes("safe"), "select * from ssot5", _SSOT_D),
     "merge_key_profile": (lambda: pipeline_ctes("safe"), _PROFILE, []),
     "gam_hour_gate": (lambda: dict(VIEWS), """select h as hour_of_day, h = 17 as due, count(*) as events
  from (select hour(ts) as h from events) group by all""", []),

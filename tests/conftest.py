@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -6,7 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tallyhour.schemas import SSOT_SCHEMA  # noqa: E402
 from tallyhour.session import build_session  # noqa: E402
 
 
@@ -14,19 +12,3 @@ from tallyhour.session import build_session  # noqa: E402
 def spark():
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="tallyhour-tests")
     yield s
-
-
-RUN_TS = dt.datetime(2024, 2, 1, 17, 0, 0)
-
-
-def ssot_rows(spark, rows):
-    """Fact-table DataFrame from dicts; unspecified columns are null."""
-    names = [f.name for f in SSOT_SCHEMA.fields]
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], SSOT_SCHEMA)
-
-
-def fact(day=1, hour=0, **kw):
-    base = {"event_date": dt.date(2024, 1, day), "event_hour": dt.datetime(2024, 1, day, hour),
-            "event": "served", "organization_id": "org_0"}
-    base.update(kw)
-    return base

@@ -7,7 +7,7 @@ from tallyhour.schemas import SSP_SCHEMA
 from tallyhour.sources.fixtures import dimension
 from tallyhour.operators.pull import pull_ssp
 
-from conftest import fact, ssot_rows
+from helpers import fact, ssot_rows
 
 D1 = dt.date(2024, 1, 1)
 

@@ -91,7 +91,7 @@ def test_gap_skipping(spark):
     from tallyhour.schemas import EVENTS_STREAM_SCHEMA, GAM_SCHEMA
     from tallyhour.plans.jobs import events_staged, gam_staged
     from tallyhour.sources.fixtures import dimension
-    from conftest import fact, ssot_rows
+    from helpers import fact, ssot_rows
     ev = spark.createDataFrame([(dt.datetime(2024, 1, 20, 3), "served", "o", None, None, "GAM", None, None, None,
                                  None, None, None, 1.0)], EVENTS_STREAM_SCHEMA)
     gam = spark.createDataFrame([(dt.datetime(2024, 1, 20, 3), "s", "1000", "1", "France", 1, 1.0)], GAM_SCHEMA)
@@ -145,3 +145,13 @@ def test_expire_partitions(spark, inputs):
     assert left.agg(F.min("event_day")).first()[0] == dt.date(2024, 1, 15)
     kept = apply_retention(inputs["events_stream"], "timestamp", 60, dt.date(2024, 3, 15))
     assert left.count() == kept.count()
+
+
+def test_sources_without_new_rows_are_skipped(spark, inputs):
+    """I-06: after a hardened run both daily sources have a watermark; a further run merges neither."""
+    from tallyhour.plans.jobs import run_ssp, run_syndication
+    opts = scenario_options("safe")
+    done = consolidate(inputs, empty_ssot(spark), opts, sources=("events_stream", "ssp", "syndication")).ssot
+    for run in (run_ssp, run_syndication):
+        result = run(inputs, done, opts)
+        assert result.ran is False and result.ssot is done and not result.staged

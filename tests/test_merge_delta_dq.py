@@ -9,7 +9,7 @@ from tallyhour.schemas import DEMAND_PARTNER_SCHEMA, GRAIN
 from tallyhour.sources.fixtures import dimension
 from tallyhour.sources.tables import empty_ssot
 
-from conftest import RUN_TS, fact, ssot_rows
+from helpers import RUN_TS, fact, ssot_rows
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 

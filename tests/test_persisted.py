@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS, fact, ssot_rows
+from helpers import RUN_TS, fact, ssot_rows
 from tallyhour.operators import dq, merge
 from tallyhour.operators.mapping import DimensionKeyError, map_advertiser
 from tallyhour.operators.watermark import watermark_value

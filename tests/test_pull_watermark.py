@@ -6,7 +6,7 @@ from tallyhour.operators import pull, watermark
 from tallyhour.schemas import EVENTS_STREAM_SCHEMA, GAM_SCHEMA
 from tallyhour.sources.tables import empty_ssot
 
-from conftest import fact, ssot_rows
+from helpers import fact, ssot_rows
 
 
 def _events(spark, stamps):
