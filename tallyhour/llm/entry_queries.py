@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, context_mixing, langid, phrase_index, pivot_search, quality_crf, separator_scan, simhash,
-               token_files)
+from . import (bpe, chat_format, context_mixing, html_consensus, langid, phrase_index, pivot_search, quality_crf,
+               separator_scan, simhash, spelling_groups, token_alignment, token_files)
 from .common import stage, table
 
-#: Where the vocabulary files of the public tokenizers lie on every machine.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
 
 def vocabulary(name: str) -> str:
-    """The file of a public tokenizer: that of the installed package, else below ``TOKENIZERS``."""
-    try:
-        import public_tokenizers
-        return public_tokenizers.path(name)
-    except ImportError:
-        return f"{TOKENIZERS}/{name}"
+    """The file of a public tokenizer, where the installed package has it."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +71,24 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "path", "by_host")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                 vocabulary("piece_bpe_32k.model"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.group_variants(spelling_groups.count_words(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_files, op2_separator_scan, op3_context_mixing, op4_quality_crf, op5_pivot_search, op6_chat_format,
-        op7_language_filters, op8_bpe_round_trip, op9_phrase_index, op10_simhash_anchors)}
+        op7_language_filters, op8_bpe_round_trip, op9_phrase_index, op10_simhash_anchors, op11_html_consensus,
+        op12_token_alignment, op13_spelling_groups)}
 
 
 #: Inner products of all pairs of a query and another vector, ranked. Only vectors without null or non-finite parts.
