@@ -22,9 +22,9 @@ learning, a window's own occurrence is taken out of the counts first, as if it w
 predicted before it was seen. The costs of a bucket's windows (single precision) return
 to the blocks, which add them up over their documents' bytes.
 
-The base score needs the exact training count of every token. A block's distinct tokens are
-joined with the counts, and the counts return to their block, so that tokens, not their
-occurrences, are shuffled.
+The base score needs the exact training count of every token. A block's distinct tokens go to
+buckets of their hash, compressed, and their counts return to the block in the same order, so that
+tokens, not their occurrences, are shuffled, and only once.
 
 Defined results: null and empty texts are the end token alone; repeated rows are
 scored each, and all learn if they are in the training part; null doc_ids are neither held out
@@ -35,6 +35,7 @@ log10(0.5 / 0.5) = 0 for every token) and even odds to every bit.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, scratch, ship, slices, stage
+from .common import fold, scratch, ship, slices
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END = b"\n"
@@ -558,6 +559,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
         def emit(id_type):
             s = state
+            vocab = list(s["vocab"])
+            by_hash = np.argsort(np.array([crc32(t) for t in vocab], np.uint32), kind="stable")
+            number = np.empty(len(vocab), np.int64)
+            number[by_hash] = np.arange(len(vocab))
             w, n = _distinct(np.concatenate([x[0] for x in s["windows"]]), np.concatenate([x[1] for x in s["windows"]]))
             order = np.argsort(places(w), kind="stable")
             return pa.RecordBatch.from_arrays(
@@ -569,10 +574,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
                  pa.array([np.array(s["size"], np.int64).tobytes()], pa.binary()),
                  pa.array([np.array(s["n"], np.int64).tobytes()], pa.binary()),
                  pa.array([np.array(s["count"], np.int64).tobytes()], pa.binary()),
-                 pa.array([_pack(np.concatenate(s["which"]).astype(np.uint32))], pa.binary()),
+                 pa.array([_pack(number[np.concatenate(s["which"])].astype(np.uint32))], pa.binary()),
                  pa.array([_pack(np.concatenate(s["many"]).astype(np.uint32))], pa.binary()),
-                 pa.array([b"\x00".join(x.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01") for x in s["vocab"])], pa.binary())],
-                names=["doc_ids", "held", "text", "n_windows", "windows", "window_n", "size", "n", "count", "which", "many", "vocab"])
+                 pa.array([_pack(_join_vocab([vocab[i] for i in by_hash.tolist()]))], pa.binary()),
+                 pa.array([len(vocab)], pa.int64())],
+                names=["doc_ids", "held", "text", "n_windows", "windows", "window_n", "size", "n", "count", "which", "many", "vocab", "n_vocab"])
 
         clear()
         for batch in batches:
@@ -606,7 +612,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
     rows = docs.select("doc_id", F.coalesce((fold("doc_id", 5) != 1).cast("int"), F.lit(-1)).cast("byte").alias("held"), "text")
     schema = (f"doc_ids array<{kind}>, held binary, text binary, n_windows long, windows binary, window_n binary, size binary, n binary, count binary, which binary, "
-              "many binary, vocab binary")
+              "many binary, vocab binary, n_vocab long")
     path = scratch(spark, "mixing-blocks")
     rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema + ", block long").parquet(path)
@@ -623,10 +629,74 @@ def score_text(text: bytes, size: np.ndarray, scorer: Scorer) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _join_vocab(tokens: list[bytes]) -> bytes:
+    return b"\x00".join([x.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01") for x in tokens])
+
+
 def _unpack_vocab(v: bytes) -> list[bytes]:
     return [x.replace(b"\x01\x01", b"\x00").replace(b"\x01\x02", b"\x01") for x in v.split(b"\x00")]
 
 
+#: Least number of token buckets (log2), and distinct tokens of blocks for which another one is made.
+TOKEN_BITS = 8
+BUCKET_TOKENS = 1 << 20
+
+
+def count_tokens(blocks: DataFrame) -> DataFrame:
+    """A row per bucket and block: the exact training counts of the block's tokens there, in its order; a bucket's first row
+    holds the sum and the number of all its counted tokens.
+
+    A block's tokens are numbered by their hash, so that a bucket's are a run of them. They travel as one
+    compressed row for each bucket, and only their counts travel back.
+    """
+    found = blocks.agg(F.coalesce(F.sum("n_vocab"), F.lit(0))).first()[0]
+    bits = max(TOKEN_BITS, (found // BUCKET_TOKENS).bit_length())
+
+    def deal(batches):
+        for batch in batches:
+            for x in batch.to_pylist():
+                vocab = _unpack_vocab(_unpack(x["vocab"]))
+                learns = np.repeat(np.frombuffer(x["held"], np.int8) == 1, np.frombuffer(x["count"], np.int64))
+                n = np.bincount(_unpack(x["which"], np.uint32)[learns], _unpack(x["many"], np.uint32)[learns], len(vocab)).astype(np.uint32)
+                bucket = np.array([crc32(t) for t in vocab], np.int64) >> (32 - bits)
+                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                ends = np.append(cut[1:], len(vocab))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[cut]), pa.array(np.full(len(cut), x["block"])),
+                     pa.array([_pack(_join_vocab(vocab[b:e])) for b, e in zip(cut.tolist(), ends.tolist())], pa.binary()),
+                     pa.array([_pack(n[b:e]) for b, e in zip(cut.tolist(), ends.tolist())], pa.binary())],
+                    names=["bucket", "block", "tokens", "n"])
+
+    def merge(batches):
+        bucket, held = None, []
+
+        def emit():
+            numbers: dict[bytes, int] = {}
+            rows = [(block, np.array([numbers.setdefault(t, len(numbers)) for t in _unpack_vocab(_unpack(v))], np.int64), n) for block, v, n in held]
+            c = np.zeros(len(numbers), np.int64)
+            for _, at, n in rows:
+                c[at] += _unpack(n, np.uint32)
+            k = len(rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([bucket] * k, pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([_pack(c[r[1]]) for r in rows], pa.binary()),
+                 pa.array([int(c.sum())] + [0] * (k - 1), pa.int64()), pa.array([int((c > 0).sum())] + [0] * (k - 1), pa.int64())],
+                names=["bucket", "block", "counts", "total", "distinct"])
+
+        for batch in batches:
+            for k, block, tokens, n in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if held and k != bucket:
+                    yield emit()
+                    held = []
+                bucket = k
+                held.append((block, tokens, n))
+        if held:
+            yield emit()
+
+    dealt = (blocks.select("block", "held", "count", "which", "many", "vocab").mapInArrow(deal, "bucket long, block long, tokens binary, n binary")
+             .repartition("bucket").sortWithinPartitions("bucket", "block"))
+    return _zstd(dealt.mapInArrow(merge, "bucket long, block long, counts binary, total long, distinct long"), "mixing-counts")
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row.
 
@@ -639,39 +709,19 @@ def score(docs: DataFrame) -> DataFrame:
               .agg(F.sort_array(F.collect_list(F.struct("bucket", "costs"))).alias("priced"))
               .select("block", F.col("priced.costs").alias("costs")))
 
-    def block_tokens(batches):
-        """(token, block, number in the block, occurrences in training texts)."""
-        for batch in batches:
-            for x in batch.to_pylist():
-                vocab = _unpack_vocab(x["vocab"])
-                count = np.frombuffer(x["count"], np.int64)
-                learns = np.repeat(np.frombuffer(x["held"], np.int8) == 1, count)
-                which = _unpack(x["which"], np.uint32)
-                n = np.bincount(which[learns], _unpack(x["many"], np.uint32)[learns], len(vocab)).astype(np.int64)
-                for s in range(0, len(vocab), 50_000):
-                    e = min(len(vocab), s + 50_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(vocab[s:e], pa.binary()), pa.array(np.full(e - s, x["block"])),
-                         pa.array(np.arange(s, e, dtype=np.int32)), pa.array(n[s:e])], names=["token", "block", "number", "n"])
-
-    use = _zstd(blocks.select("block", "held", "count", "which", "many", "vocab")
-                .mapInArrow(block_tokens, "token binary, block long, number int, n long"), "mixing-tokens")
-    counts = stage(use.where("n > 0").groupBy("token").agg(F.sum("n").alias("c")), "mixing-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    known = use.join(counts, "token").select("block", "number", "c")
-    gathered = (known.groupBy("block").agg(F.collect_list(F.struct("number", "c")).alias("known"))
-                .select("block", F.col("known.number").alias("numbers"), F.col("known.c").alias("counts")))
+    counted = count_tokens(blocks)
+    total, distinct = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    gathered = (counted.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("known"))
+                .select("block", F.col("known.counts").alias("counts")))
 
     def per_document(batches):
         for batch in batches:
             kinds = batch.schema.field("doc_ids").type.value_type
-            for r, x in enumerate(batch.select([n for n in batch.schema.names if n not in ("numbers", "counts", "costs")]).to_pylist()):
+            for r, x in enumerate(batch.select([n for n in batch.schema.names if n not in ("counts", "costs")]).to_pylist()):
                 ids = pa.array(x["doc_ids"], kinds)
                 count = np.frombuffer(x["count"], np.int64)
                 which, many = _unpack(x["which"], np.uint32).astype(np.int64), _unpack(x["many"], np.uint32).astype(np.int64)
-                c = np.zeros(int(which.max()) + 1)
-                if batch.column("numbers")[r].is_valid:
-                    c[batch.column("numbers")[r].values.to_numpy()] = batch.column("counts")[r].values.to_numpy()
+                c = np.concatenate([_unpack(v.as_buffer(), np.int64) for v in batch.column("counts")[r].values]).astype(np.float64)
                 logs = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
                 at = np.cumsum(count) - count
                 held, size = np.frombuffer(x["held"], np.int8), np.frombuffer(x["size"], np.int64)
@@ -684,6 +734,6 @@ def score(docs: DataFrame) -> DataFrame:
                      pa.array(-s / np.log10(2) / size)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
-    rows = blocks.drop("vocab", "window_n", "n_windows").join(gathered, "block", "left").join(priced, "block", "left")
+    rows = blocks.drop("vocab", "n_vocab", "window_n", "n_windows").join(gathered, "block", "left").join(priced, "block", "left")
     return rows.mapInArrow(per_document, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                          "base_score double, score double, bits_per_byte double")

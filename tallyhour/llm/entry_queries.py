@@ -23,7 +23,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return separator_scan.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), end_id=50256)
+    return separator_scan.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), end_id=50256,
+                                       id_bytes=2)
 
 
 def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,13 +92,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op12_token_alignment, op13_spelling_groups)}
 
 
-#: Inner products of all pairs of a query and another vector, ranked. Only vectors without null or non-finite parts.
+#: Inner products of all pairs of a query and another vector, ranked. Only vectors without null or non-finite parts; rows of
+#: one vec_id are one vector, the least.
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(range(1, 1 + least(len(q.e), len(c.e))), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score

@@ -16,11 +16,11 @@ columns other than ``doc_id``, ``text`` and ``lang`` are not read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,8 @@ MIN_RELATIVE = 0.3
 HASHES = (0x9E3779B1, 0x85EBCA77)
 SLICE_BYTES = 4 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of Unicode category L; numerals such as a half or a Roman eight are none.
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -126,11 +127,43 @@ def _count_windows(batches):
                     names=["lang", "window", "n"])
 
 
+_HASHES = (1 << 63) - 1
+
+
+def pick(known: DataFrame, counts: dict[str, int], k: int) -> DataFrame:
+    """(text, lang) of the ``k`` rows of every language with the least hashes of doc_id and text; equal rows count once.
+
+    Hashes below a limit that about 1.5 k rows of a language pass are told apart before the shuffle, so
+    that a language is never sorted as a whole; where copies leave fewer than k, the limit rises.
+    """
+    rows = known.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1))
+    share = {l: min(1.0, (1.5 * k + 50) / n) for l, n in counts.items()}
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    least: dict[str, int] = {}
+    while share:
+        limit = F.element_at(F.create_map(*[F.lit(x) for l, s in share.items() for x in (l, min(_HASHES, int(s * _HASHES)))]), F.col("lang"))
+        some = rows.select("lang", "h").where(F.col("lang").isin(list(share)) & (F.col("h") <= limit)).distinct()
+        got = some.withColumn("place", place).where(F.col("place") <= k).groupBy("lang").agg(
+            F.max("h").alias("h"), F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+        found = {r["lang"]: r for r in got}
+        for l in list(share):
+            if share[l] >= 1.0 or l in found and found[l]["n"] >= k:
+                if l in found:
+                    least[l] = found[l]["h"]
+                del share[l]
+            else:
+                share[l] = min(1.0, share[l] * 8)
+    if not least:
+        return known.where(F.lit(False)).select("text", "lang")
+    limit = F.element_at(F.create_map(*[F.lit(x) for l, h in least.items() for x in (l, h)]), F.col("lang"))
+    return rows.where(F.col("lang").isin(list(least)) & (F.col("h") <= limit)).dropDuplicates(["lang", "h"]).select("text", "lang")
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageFilters:
     """Learn from rows outside the held-out quarter (crc32(doc_id) mod 4 is 2) whose lang is set.
 
     At most ``sample_docs`` documents are learned from, dealt evenly to the
-    languages and picked by the hash of their id.
+    languages and picked by the hash of their id and text.
     """
     ship(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").where(
@@ -141,10 +174,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageFilters:
         return build_filters([], 0, [])
     counts = {r["lang"]: r["count"] for r in per_lang}
     prior = max(range(len(langs)), key=lambda i: (counts[langs[i]], -i))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (known.select("doc_id", "lang").withColumn("pick", F.row_number().over(order))
-              .where(F.col("pick") <= max(1, sample_docs // len(langs))).select("doc_id").distinct())
-    sample = known.join(F.broadcast(picked), "doc_id", "left_semi").select("text", "lang")
+    sample = pick(known, {l: counts[l] for l in langs}, max(1, sample_docs // len(langs)))
     n = (sample.mapInArrow(_count_windows, "lang string, window long, n long")
          .groupBy("lang", "window").agg(F.sum("n").alias("n")))
     total = Window.partitionBy("lang")

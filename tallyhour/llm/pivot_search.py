@@ -12,15 +12,16 @@ reach its k-th best score any more. Bounds are relaxed by more than the rounding
 error and compare with "or equal", so that results, ties included, are exact;
 scores are integer products.
 
-Queries are read in blocks of ``QUERY_BLOCK``: a block and the list of annuli (at most
-``MOST_BLOCKS`` and one per pivot) are broadcast, vectors stay where they are stored.
+Queries are read in blocks of ``QUERY_BLOCK``: a block is broadcast, vectors stay where they are
+stored, and tasks over the list of annuli choose the nearest ones of each query.
 Equal vectors are folded before: of those only the k + 1 smallest ids can be returned.
 Pivots are a sample of at most ``PIVOTS`` vectors; every vector is indexed.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take
-no part; shorter vectors count as filled with zeros; rows with a query's own vec_id
-are not its candidates; if a vec_id repeats, its first vector in byte order is the query and
-all its distinct vectors are candidates, each listed; null vec_ids take no part.
+no part; shorter vectors count as filled with zeros; rows of one vec_id are one vector, the
+least by its components in turn; a query is not its own candidate; null vec_ids take no part.
+Scores are 64-bit integers: scaled components of 2**62 or more, or so large that a score
+could leave 64 bits, are an error and not left out.
 """
 
 from __future__ import annotations
@@ -38,10 +39,14 @@ MOST_BLOCKS = 65_536
 QUERY_BLOCK = 4096
 PROBES = 3
 _SLACK = 1e-7
+_SIGN = np.uint64(1 << 63)
 
 
 def integer_vectors(rows: DataFrame, scale: float, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """vec_id and floor(scale * component) as little-endian 64-bit integers, trailing zeros cut."""
+    """vec_id and floor(scale * component) as 64-bit integers, one row for each vec_id.
+
+    Integers are stored with the sign flipped and the high byte first, so that byte order is their order.
+    """
     ship(rows.sparkSession)
 
     def run(batches):
@@ -51,19 +56,26 @@ def integer_vectors(rows: DataFrame, scale: float, id_col: str = "vec_id", vec_c
                 if i is None or v is None or any(x is None for x in v):
                     continue
                 x = np.floor(scale * np.array(v, np.float64))
-                if not np.isfinite(x).all() or (np.abs(x) >= 2.0 ** 62).any():
+                if not np.isfinite(np.array(v, np.float64)).all():
                     continue
+                if (np.abs(x) >= 2.0 ** 62).any():
+                    raise OverflowError(f"vector {i} has a scaled component of 2**62 or more")
                 ids.append(i)
-                out.append(np.trim_zeros(x.astype("<i8"), "b").tobytes())
+                out.append((x.astype(np.int64).view(np.uint64) ^ _SIGN).astype(">u8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col)).mapInArrow(run, "vec_id long, v binary")
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col)).mapInArrow(
+        run, "vec_id long, v binary").groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
+def integers(v: bytes) -> np.ndarray:
+    return (np.frombuffer(v, ">u8").astype(np.uint64) ^ _SIGN).view(np.int64)
 
 
 def matrix(vectors: list[bytes], dim: int) -> np.ndarray:
     out = np.zeros((len(vectors), dim), np.int64)
     for i, v in enumerate(vectors):
-        x = np.frombuffer(v, "<i8")
+        x = integers(v)
         out[i, :len(x)] = x
     return out
 
@@ -135,14 +147,14 @@ def build_index(vectors: DataFrame, k: int, pivots: int = PIVOTS):
     """(index of annuli, pivots, largest squared norm, dimension, whether doubles are exact)."""
     spark = vectors.sparkSession
     once = Window.partitionBy("v").orderBy("vec_id")
-    rows = stage(vectors.distinct().withColumn("_n", F.row_number().over(once)).where(F.col("_n") <= k + 1).drop("_n"),
+    rows = stage(vectors.withColumn("_n", F.row_number().over(once)).where(F.col("_n") <= k + 1).drop("_n"),
                  "pivot-vectors")
 
     def measure(batches):
         for batch in batches:
             n = d = a = 0
             for v in batch.column(1).to_pylist():
-                x = np.frombuffer(v, "<i8").astype(np.float64)
+                x = integers(v).astype(np.float64)
                 n, d, a = max(n, float(x @ x)), max(d, len(x)), max(a, float(np.abs(x).max(initial=0)))
             yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([d], pa.int64()), pa.array([float(a)]),
                                               pa.array([batch.num_rows], pa.int64())], names=["n", "d", "a", "c"])
@@ -150,6 +162,8 @@ def build_index(vectors: DataFrame, k: int, pivots: int = PIVOTS):
     top, dim, most, count = rows.mapInArrow(measure, "n double, d long, a double, c long").agg(
         F.max("n"), F.max("d"), F.max("a"), F.sum("c")).first()
     top, dim, count = top or 0.0, max(1, dim or 0), count or 0
+    if (most or 0.0) ** 2 * dim >= 2.0 ** 63:
+        raise OverflowError("inner products of these vectors can leave 64 bits")
     exact = (most or 0.0) ** 2 * dim < 2.0 ** 52
     n_pivots = int(max(1, min(pivots, count ** 0.5 / 4)))
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(n_pivots).collect()
@@ -200,7 +214,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS)
     """query_id, rank, vec_id and score of the ``k`` best candidates of every query."""
     spark = vectors.sparkSession
     index, base, top, dim, exact = build_index(vectors, k, pivots)
-    directory = index.select("block", "pivot", "low", "high").orderBy("block").toPandas()  # MOST_BLOCKS and a few per pivot
     asked = stage(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "pivot-queries")
     n_blocks = -(-asked.count() // QUERY_BLOCK)
     out = scratch(spark, "pivot-found")
@@ -216,6 +229,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS)
                                                  names=["query_id", "vec_id", "score"])
         return blocks.select(cols).mapInArrow(run, schema)
 
+    def nearest(q: Queries) -> dict[int, np.ndarray]:
+        """Annulus to those queries (their places) of which it is one of the PROBES nearest."""
+        shared = spark.sparkContext.broadcast(q)
+
+        def run(batches):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                q, block = shared.value, batch.column(0).to_numpy()
+                bounds = np.stack([q.bound(p, low, high) for p, low, high in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))])
+                near = np.lexsort((np.broadcast_to(block[:, None], bounds.shape), -bounds), axis=0)[:PROBES]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(len(q.ids)), len(near))), pa.array(np.take_along_axis(bounds, near, 0).ravel()),
+                     pa.array(block[near].ravel())], names=["query", "bound", "block"])
+
+        each = Window.partitionBy("query").orderBy(F.col("bound").desc(), "block")
+        rows = (index.select("block", "pivot", "low", "high").mapInArrow(run, "query long, bound double, block long")
+                .withColumn("r", F.row_number().over(each)).where(F.col("r") <= PROBES).select("query", "block").collect())  # PROBES a query
+        out: dict[int, list] = {}
+        for r in rows:
+            out.setdefault(r["block"], []).append(r["query"])
+        return {b: np.array(sorted(x), np.int64) for b, x in out.items()}
+
     def best(df: DataFrame) -> DataFrame:
         w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
         return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -224,10 +260,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS)
         mine = asked.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks)) == b).orderBy("vec_id").collect()
         q = Queries(np.array([r["vec_id"] for r in mine], np.int64), matrix([bytes(r["v"]) for r in mine], dim), base, top, exact, k)
         # the annuli nearest to each query first: they give its k-th best score
-        bounds = np.stack([q.bound(int(r.pivot), r.low, r.high) for r in directory.itertuples()]) if len(directory) else np.zeros((0, len(mine)))
-        near = np.argsort(-bounds, axis=0, kind="stable")[:PROBES]
-        blocks = directory["block"].to_numpy()
-        allowed = {int(blocks[i]): np.flatnonzero((near == i).any(0)) for i in np.unique(near)}
+        allowed = nearest(q)
         lowest = np.full(len(mine), -(1 << 63), np.int64)
         probe = spark.sparkContext.broadcast((q, lowest, allowed))
         wanted = spark.createDataFrame([(x,) for x in allowed], "block long")

@@ -1,20 +1,27 @@
 """Token counts by a separator scan over flat, unindexed token files.
 
-A flat file is nothing but little-endian unsigned 32-bit ids, documents ending in an
-end-of-document id. Nothing tells where documents begin, and they may cross the
+A flat file is nothing but little-endian unsigned ids of ``id_bytes`` bytes, documents
+ending in an end-of-document id. Nothing tells where documents begin, and they may cross the
 files. Files are searched in blocks of ``BLOCK_IDS`` ids, all positions of a block at
 once. A block yields the lengths between its separators, the first of them only as
 far as the block shows; a prefix scan over the blocks (inside each file, then over
 the files) tells how many separators and how many open ids come before each block,
 which numbers the documents and completes the cut ones.
 
-``write_flat`` makes such files with Spark's text writer: a document's ids are a
-line, the end id is the line separator.
+``write_flat`` makes such files with Spark's text writer, in the order of the table: texts are
+not shuffled. A record is a run of documents of about ``RECORD_BYTES``, its last end id is the
+line separator; how many records make a file follows from the longest text, so that no file
+comes near the 2 GB that the binary file source reads. Ascending order of doc_id is made
+good on the counts, which are narrow: ``token_counts`` numbers the rows of the table in the order
+of the files, joins them with the scanned documents, and sums up in order of doc_id.
+The table must give the same rows in the same partitions when it is read again, as files do;
+rows and scanned documents are counted, and a difference is an error.
 
 Defined results: a document without ids counts 1 (its end id); ids after the last
 separator form one document that is not ``closed``; an empty table or file yields
-nothing; equal rows are separate documents. Null texts are empty; null doc_ids sort
-first. Texts hold no end id, as ordinary text never encodes to it.
+nothing; equal rows are separate documents, equal doc_ids are ordered by the hash of their text.
+Null texts are empty; null doc_ids sort first. Texts hold no end id, as ordinary text never
+encodes to it. An id that does not fit ``id_bytes`` is an error.
 """
 
 from __future__ import annotations
@@ -33,8 +40,10 @@ from .token_files import running_total
 BLOCK_IDS = 1 << 20
 #: The pattern that cuts text before merging. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-DOCS_PER_FILE = 20_000
 SLICE_BYTES = 4 << 20
+#: About the bytes of a record (more only for one longer document), and at most those of a file.
+RECORD_BYTES = 1 << 20
+FILE_BYTES = 1 << 30
 
 
 def encoding(path: str):
@@ -48,29 +57,44 @@ def encoding(path: str):
     return kept[path]
 
 
-def _ordered(docs: DataFrame, *cols: str) -> DataFrame:
-    """Rows dealt and sorted by doc_id, equal ids by the hash of their text."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), *cols)
-    return rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str, id_bytes: int = 4, longest: int | None = None) -> None:
+    """Flat files of all documents below ``path``, in the order of the table.
 
-
-def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str) -> None:
-    """Flat files of all documents in ascending doc_id order below ``path``."""
+    ``id_bytes``: 4, or 2 for vocabularies of fewer than 65,536 ids. ``longest``: bytes of the longest text, where known.
+    """
     ship(docs.sparkSession)
-    if end_id > 0x7F7F7F7F:
-        raise ValueError("the end id must fit the line separator")
+    kind = {2: "<u2", 4: "<u4"}[id_bytes]
+    if end_id >> 8 * id_bytes:
+        raise ValueError(f"the end id does not fit {id_bytes} bytes")
+    if longest is None:
+        longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
+    records = max(1, FILE_BYTES // max(2 * RECORD_BYTES, (longest + 1) * id_bytes))  # a text has at most as many ids as bytes
+    record_bytes, end = RECORD_BYTES, np.array([end_id], kind).tobytes()
 
     def run(batches):
         from tallyhour.llm import separator_scan
         enc = separator_scan.encoding(rank_file)
+        if enc.n_vocab > 1 << 8 * id_bytes:
+            raise ValueError(f"the vocabulary does not fit {id_bytes} bytes")
+        held, size = [], 0
+
+        def emit():
+            return pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["ids"])
+
         for batch in batches:
             for part in slices(batch, 0, SLICE_BYTES):
-                ids = [np.array(enc.encode_ordinary(t), "<u4").tobytes() for t in strings(part.column(0))]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
-
-    (_ordered(docs, "text").select("text").mapInArrow(run, "ids binary")
+                for t in strings(part.column(0)):
+                    held.append(np.array(enc.encode_ordinary(t), kind).tobytes())
+                    size += len(held[-1]) + id_bytes
+                    if size >= record_bytes:
+                        yield emit()
+                        held, size = [], 0
+        if held:
+            yield emit()
+
+    (docs.select("text").mapInArrow(run, "ids binary")
      .select(F.col("ids").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
-     .option("lineSep", end_id.to_bytes(4, "little").decode("latin-1")).option("maxRecordsPerFile", DOCS_PER_FILE).text(path))
+     .option("lineSep", end.decode("latin-1")).option("maxRecordsPerFile", records).text(path))
 
 
 def scan_block(ids: np.ndarray, end_id: int) -> tuple[np.ndarray, int]:
@@ -80,9 +104,10 @@ def scan_block(ids: np.ndarray, end_id: int) -> tuple[np.ndarray, int]:
     return np.diff(ends), len(ids) - 1 - int(ends[-1])
 
 
-def scan(spark: SparkSession, path: str, end_id: int) -> DataFrame:
+def scan(spark: SparkSession, path: str, end_id: int, id_bytes: int = 4) -> DataFrame:
     """ordinal, start, n_tokens and closed of every document of the flat files below ``path``."""
     ship(spark)
+    kind = {2: "<u2", 4: "<u4"}[id_bytes]
     name = r"part-(\d+)-[^/]*-c(\d+)[^/]*$"
     files = (spark.read.format("binaryFile").load(path).where("length > 0")
              .select(F.regexp_extract("path", name, 1).cast("long").alias("part"),
@@ -92,9 +117,9 @@ def scan(spark: SparkSession, path: str, end_id: int) -> DataFrame:
         for batch in batches:
             for r in range(batch.num_rows):
                 content = batch.column(2)[r].as_buffer()
-                if len(content) % 4:
+                if len(content) % id_bytes:
                     raise ValueError("a flat token file holds whole ids")
-                ids = np.frombuffer(content, "<u4")
+                ids = np.frombuffer(content, kind)
                 found = [scan_block(ids[i:i + BLOCK_IDS], end_id) for i in range(0, len(ids), BLOCK_IDS)]
                 k = len(found)
                 yield pa.RecordBatch.from_arrays(
@@ -153,17 +178,49 @@ def scan(spark: SparkSession, path: str, end_id: int) -> DataFrame:
 
 
 def ordinals(docs: DataFrame) -> DataFrame:
-    """doc_id and its place in the order of the files."""
-    rows = (_ordered(docs).select("doc_id", F.spark_partition_id().cast("long").alias("part"), F.lit(0).cast("long").alias("file"),
-                                  F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("i")))
-    rows = stage(rows, "separator-order")
+    """part, doc_id, hash and length of the text, and place in the order of the files, of every row."""
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = stage(docs.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"),
+                             F.spark_partition_id().cast("long").alias("part"), F.lit(0).cast("long").alias("file"), at.alias("i")),
+                 "separator-order")
     parts = running_total(rows.groupBy("part", "file").agg(F.count("*").alias("n")), "n", "base")
-    return rows.join(parts.select("part", "base"), "part").select("doc_id", (F.col("base") + F.col("i")).alias("ordinal"))
+    return rows.join(parts.select("part", "base"), "part").select("part", "doc_id", "h", "bytes", (F.col("base") + F.col("i")).alias("ordinal"))
 
 
-def token_counts(docs: DataFrame, rank_file: str, end_id: int) -> DataFrame:
-    """doc_id, ordinal, start and n_tokens (end id included) of every document, counted in flat files."""
+def in_order(counted: DataFrame) -> DataFrame:
+    """doc_id, ordinal, start and n_tokens in ascending order of (doc_id, h, ordinal), by prefix sums inside and over the tasks."""
+    kind = counted.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        start = i = 0
+        for batch in batches:
+            n = batch.column(2).to_numpy()
+            ends = start + np.cumsum(n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(ends - n), pa.array(np.arange(i, i + len(n)))],
+                names=["doc_id", "part", "n_tokens", "at", "i"])
+            start, i = int(ends[-1]) if len(n) else start, i + len(n)
+
+    keys = ["doc_id", "h", "ordinal"]
+    rows = (counted.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            .select("doc_id", F.spark_partition_id().cast("long").alias("part"), "n_tokens")
+            .mapInArrow(run, f"doc_id {kind}, part long, n_tokens long, at long, i long"))
+    rows = stage(rows.withColumn("file", F.lit(0).cast("long")), "separator-sums")
+    parts = rows.groupBy("part", "file").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"))
+    parts = running_total(running_total(parts, "n", "docs_before"), "t", "ids_before").select("part", "docs_before", "ids_before")
+    return rows.join(parts, "part").select("doc_id", (F.col("docs_before") + F.col("i")).alias("ordinal"),
+                                           (F.col("ids_before") + F.col("at")).alias("start"), "n_tokens")
+
+
+def token_counts(docs: DataFrame, rank_file: str, end_id: int, id_bytes: int = 4) -> DataFrame:
+    """doc_id, ordinal, start and n_tokens (end id included) of every document in ascending order of doc_id, counted in flat files."""
     spark = docs.sparkSession
+    ship(spark)
     path = scratch(spark, "flat-tokens")
-    write_flat(docs, rank_file, end_id, path)
-    return ordinals(docs).join(scan(spark, path, end_id), "ordinal").select("doc_id", "ordinal", "start", "n_tokens")
+    order = stage(ordinals(docs), "separator-rows")
+    longest = order.agg(F.max("bytes")).first()[0] or 0
+    write_flat(docs, rank_file, end_id, path, id_bytes, longest)
+    found = stage(scan(spark, path, end_id, id_bytes), "separator-documents")
+    if found.count() != order.count():
+        raise RuntimeError("the table gave other rows when it was read again: write it down first")
+    return in_order(order.join(found.select("ordinal", "n_tokens"), "ordinal"))

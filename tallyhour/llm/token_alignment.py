@@ -14,8 +14,13 @@ the counts up per document. Two tokens that end together are one a suffix of the
 bytes, so that a tokenizer pair has at most ``Pair.bound`` different codes (under a million here),
 however large the corpus: this table alone is collected and broadcast.
 
-Texts are taken in runs of about ``SLICE_BYTES``, as one chain of bytes: no token spans two
-texts. A text is never cut; a task holds about a hundred bytes for each byte of its longest.
+A single blank between two characters that are no white space cuts both encodings: A's
+pieces begin there, and no piece of B holds a blank after another character. So the matrices of a
+text are block diagonal, one block for each such span, and equal blocks are multiplied once: a
+worker remembers the links of spans (bounded by ``HELD_BYTES``, the often met half stays) and a text is put together from
+its spans. New spans are encoded together, as one chain of bytes. A text with a span that
+does not come back byte for byte is taken as one span. A text is never cut elsewhere; a task
+holds about a hundred bytes for each byte of its longest span.
 
 Defined results: texts that are null, empty, or that either tokenizer does not give back
 byte for byte have no tokens: all counts are zero, the digest is ''. Repeated rows are rows
@@ -26,7 +31,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +45,10 @@ from .bpe import _byte_chars
 from .common import scratch, ship, slices, strings
 
 SLICE_BYTES = 1 << 20
+#: Bytes of remembered spans and what belongs to them, about, before a worker forgets them.
+HELD_BYTES = 128 << 20
+#: A blank at which both encodings are cut.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Products of rows done at once.
 FLOPS = 1 << 22
 #: Texts handed to a tokenizer at once hold about so many code points.
@@ -123,6 +134,17 @@ class Pair:
         self.digits = np.array([[int(c) + 48 for c in f"{i:06d}"] for i in range(most)], np.uint8)
         self.width = np.array([len(str(i)) for i in range(most)], np.int64)
 
+    @staticmethod
+    def joined(ids: list[list[int]], table: list[bytes]) -> bytes:
+        return b"".join(map(table.__getitem__, chain.from_iterable(ids)))
+
+    @staticmethod
+    def sizes(ids: list[list[int]], table: np.ndarray) -> np.ndarray:
+        """Bytes of every text's tokens."""
+        ends = np.cumsum([len(x) for x in ids])
+        total = np.concatenate([[0], np.cumsum(table[np.fromiter(chain.from_iterable(ids), np.int64)])])
+        return np.diff(total[np.concatenate([[0], ends])])
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of every text by A and by B; both empty where bytes differ."""
         a, b, at = [], [], 0
@@ -135,7 +157,12 @@ class Pair:
             at = end
             own = [e.ids for e in self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)]
             other = self.b.encode(part, num_threads=1)
-            for t, x, y in zip(part, own, other):
+            if b"".join([b" " + t.encode() for t in part]) == self.joined(own, self.a_bytes) == self.joined(other, self.b_bytes) and (
+                    self.sizes(own, self.a_sizes) == self.sizes(other, self.b_sizes)).all() and "" not in part:
+                a += own
+                b += other
+                continue
+            for t, x, y in zip(part, own, other):  # rare: some text does not come back
                 whole = b" " + t.encode()
                 good = (t != "" and b"".join(map(self.a_bytes.__getitem__, x)) == whole
                         and b"".join(map(self.b_bytes.__getitem__, y)) == whole)
@@ -158,8 +185,7 @@ class Chain:
     def __init__(self, tokens: Pair, a: list[list[int]], b: list[list[int]]):
         self.tokens = tokens
         self.n_a, self.n_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
-        self.a = np.fromiter((i for x in a for i in x), np.int64, int(self.n_a.sum()))
-        self.b = np.fromiter((i for x in b for i in x), np.int64, int(self.n_b.sum()))
+        self.a, self.b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, self.n_a), (b, self.n_b)))
         self.by_a, self.by_b = incidence(tokens.a_sizes[self.a]), incidence(tokens.b_sizes[self.b])
 
     def overlaps(self):
@@ -193,23 +219,120 @@ class Chain:
         return text, np.cumsum(width + 1)[last]
 
 
-def _rows(part: pa.RecordBatch, tokens: Pair) -> pa.RecordBatch:
+class Spans:
+    """Links and groups of spans, each worked out once."""
+
+    def __init__(self, tokens: Pair):
+        if any("▁" in p.lstrip("▁") for p in (tokens.b.id_to_piece(i) for i in range(tokens.n_b))):
+            raise ValueError("a piece of B goes on after a blank: spans would not be independent")
+        self.tokens = tokens
+        self.clear()
+
+    def clear(self) -> None:
+        #: span -> its number; -1 for what only the cut of a whole text can tell
+        self.number: dict[str, int] = {}
+        self.whole: dict[str, int] = {}
+        self.text: list[bytes] = []
+        self.codes: list[bytes] = []
+        #: tokens of A, tokens of B, links, shared-group links, whether bytes came back
+        self.counts = np.zeros((1024, 5), np.int64)
+        self.met = np.zeros(1024, np.int64)
+        self.held = 0
+
+    def forget(self) -> None:
+        """Keep the spans of plain texts that were met most, up to half of the bytes held."""
+        at = np.fromiter(self.number.values(), np.int64, len(self.number))
+        names, at = np.array(list(self.number), object)[at >= 0], at[at >= 0]
+        cost = np.array([len(self.text[i]) + len(self.codes[i]) + 400 for i in at.tolist()], np.int64)
+        order = np.argsort(-self.met[at], kind="stable")
+        order = order[np.cumsum(cost[order]) <= HELD_BYTES // 2]
+        old = (self.text, self.codes, self.counts, self.met)
+        at, names = at[order], names[order]
+        self.clear()
+        self.text, self.codes = ([column[i] for i in at.tolist()] for column in old[:2])
+        self.counts, self.met = (np.concatenate([column[at], np.zeros((1024, *column.shape[1:]), np.int64)]) for column in old[2:])
+        self.met //= 2
+        self.number.update(zip(names.tolist(), range(len(at))))
+        self.held = int(cost[order].sum())
+
+    def learn(self, spans, kept: dict[str, int]) -> None:
+        new = [s for s in dict.fromkeys(spans) if s not in kept]
+        if kept is self.number:
+            for s in new:
+                if not s or s[0].isspace() or s[-1].isspace():
+                    kept[s] = -1
+            new = [s for s in new if s not in kept]
+        begin = 0
+        while begin < len(new):
+            end, size = begin, 0
+            while end < len(new) and (end == begin or size + len(new[end]) <= SLICE_BYTES):
+                size += len(new[end])
+                end += 1
+            self._add(new[begin:end], kept)
+            begin = end
+
+    def _add(self, new: list[str], kept: dict[str, int]) -> None:
+        c = Chain(self.tokens, *self.tokens.encode(new))
+        i, j = c.ending_together()
+        a_end = np.cumsum(c.n_a)
+        links = np.bincount(np.searchsorted(a_end, i, side="right"), minlength=len(new))  # a link ends a group
+        group_a, group_b = c.groups(i, j)
+        shared = np.concatenate([[0], np.cumsum(work(transpose(group_a), group_b))])
+        text, ends = c.written(i, j)
+        first = np.concatenate([[0], np.cumsum(links)])
+        at = np.concatenate([[0], ends])[first].tolist()
+        codes = (c.a[i] * self.tokens.n_b + c.b[j]).astype("<u4").tobytes()
+        base = len(self.text)
+        while base + len(new) > len(self.counts):
+            self.counts, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.counts, self.met))
+        self.counts[base:base + len(new)] = np.stack([c.n_a, c.n_b, links, shared[a_end] - shared[a_end - c.n_a], c.n_a > 0], 1)
+        self.text += [text[x:y - 1] if y > x else b"" for x, y in zip(at, at[1:])]
+        self.codes += [codes[4 * x:4 * y] for x, y in zip(first.tolist(), first[1:].tolist())]
+        kept.update(zip(new, range(base, base + len(new))))
+        self.held += len(text) + len(codes) + 400 * len(new)
+
+    def of(self, texts: list[str]):
+        """(counts, digest, pair codes) of every text."""
+        if self.held > HELD_BYTES:
+            self.forget()
+        rows = [t.split(" ") for t in texts]
+        self.learn((s for r in rows for s in r), self.number)
+        for k, r in enumerate(rows):
+            at = [self.number[s] for s in r]
+            if -1 in at:
+                spans = CUT.split(texts[k]) if texts[k] else []
+                self.learn(spans, self.whole)
+                at = [self.whole[s] for s in spans]
+            at = np.array(at, np.int64)
+            counts = self.counts[at]
+            np.add.at(self.met, at, 1)
+            if not counts[:, 4].all():  # some span does not come back: the text as one span decides
+                self.learn([texts[k]], self.whole)
+                at = np.array([self.whole[texts[k]]])
+                counts = self.counts[at]
+            if not len(at) or not counts[0, 4]:
+                yield np.zeros(4, np.int64), "", b""
+                continue
+            at = at.tolist()
+            codes = np.sort(np.frombuffer(b"".join([self.codes[i] for i in at]), "<u4"))
+            yield counts[:, :4].sum(0), hashlib.sha256(b";".join([self.text[i] for i in at])).hexdigest(), codes.tobytes()
+
+
+def spans_of(a_path: str, b_path: str) -> Spans:
+    """The worker's memory of spans, kept between tasks."""
+    kept = sys.modules[__name__].__dict__.setdefault("_SPANS", {})
+    if (a_path, b_path) not in kept:
+        kept[a_path, b_path] = Spans(pair(a_path, b_path))
+    return kept[a_path, b_path]
+
+
+def _rows(part: pa.RecordBatch, memory: Spans) -> pa.RecordBatch:
     """Counts, digest and pair codes of the texts of a run."""
-    c = Chain(tokens, *tokens.encode(strings(part.column(1))))
-    i, j = c.ending_together()
-    a_end = np.cumsum(c.n_a)
-    links = np.bincount(np.searchsorted(a_end, i, side="right"), minlength=part.num_rows)  # a link ends a group
-    group_a, group_b = c.groups(i, j)
-    shared = np.concatenate([[0], np.cumsum(work(transpose(group_a), group_b))])
-    text, ends = c.written(i, j)
-    first = np.concatenate([[0], np.cumsum(links)])
-    at = np.concatenate([[0], ends])[first].tolist()
-    codes = (c.a[i] * tokens.n_b + c.b[j]).astype("<u4")
-    digests = [hashlib.sha256(text[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(at, at[1:])]
-    packed = [np.sort(codes[x:y]).tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
+    found = list(memory.of(strings(part.column(1))))
+    n = np.stack([x[0] for x in found])
     return pa.RecordBatch.from_arrays(
-        [part.column(0), pa.array(c.n_a), pa.array(c.n_b), pa.array(links), pa.array(links),
-         pa.array(shared[a_end] - shared[a_end - c.n_a]), pa.array(digests, pa.string()), pa.array(packed, pa.binary())],
+        [part.column(0), pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array(n[:, 2]), pa.array(n[:, 2]), pa.array(n[:, 3]),
+         pa.array([x[1] for x in found], pa.string()), pa.array([x[2] for x in found], pa.binary())],
         names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "groups_sha256", "codes"])
 
 
@@ -271,10 +394,10 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     ship(spark)
 
     def encode(batches):
-        tokens = pair(a_path, b_path)
+        memory = spans_of(a_path, b_path)
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                yield _rows(part, tokens)
+                yield _rows(part, memory)
 
     path = scratch(spark, "alignment")
     schema = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, groups_sha256 string, codes binary")

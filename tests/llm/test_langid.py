@@ -68,3 +68,92 @@ def test_query_is_right_on_held_out_rows(spark, sf_small):
     got = op7_language_filters(spark, sf_small).where("held_out").join(
         spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "lang"), "doc_id")
     assert got.where("lang = lang_pred").count() >= 0.95 * got.count()
+
+
+def plain_reference(rows, sample_docs):
+    """The whole fit and prediction by plain loops over sets: (prediction, score) by row."""
+    import regex
+    import xxhash  # noqa: F401  (hashes of the sample come from Spark, below)
+    letter, learned = regex.compile(r"\p{L}"), {}
+    for _, text, lang in rows["sample"]:
+        learned.setdefault(lang, []).append(text or "")
+
+    def grams(text):
+        out = bytearray()
+        for c in (" " + (text if text.isascii() else text.lower()) + " ").encode():
+            c = c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
+            if c != 32 or not out or out[-1] != 32:
+                out.append(c)
+        out.append(32)
+        return [bytes(out[i:i + 4]) for i in range(len(out) - 3)]
+    langs = sorted(rows["counts"])
+    rates = {}
+    for lang in langs:
+        seen = {}
+        for text in learned.get(lang, []):
+            for g in grams(text):
+                seen[g] = seen.get(g, 0) + 1
+        total = sum(seen.values())
+        rates[lang] = {g: n / total for g, n in seen.items() if n / total >= langid.MIN_RATE}
+    top = {}
+    for r in rates.values():
+        for g, x in r.items():
+            top[g] = max(top.get(g, 0), x)
+    members = {l: {g for g, x in r.items() if x >= langid.MIN_RELATIVE * top[g]} for l, r in rates.items()}
+    bits = max(10, int(np.ceil(np.log2(max(1, max(map(len, members.values()), default=1)) * 10))))
+    place = lambda g, h: (int.from_bytes(g, "little") * h & 0xFFFFFFFF) >> 32 - bits
+    slots = {l: {place(g, h) for g in m for h in langid.HASHES} for l, m in members.items()}
+    fp = {l: min(0.999, (len(s) / 2 ** bits) ** len(langid.HASHES)) for l, s in slots.items()}
+    prior = max(langs, key=lambda l: (rows["counts"][l], [-ord(c) for c in l])) if langs else None
+    out = []
+    for text in rows["texts"]:
+        if not text or not langs or not letter.search(text):
+            out.append(("und", 0.0))
+            continue
+        gs = grams(text)
+        c = {}
+        for l in langs:
+            hits = sum(all(place(g, h) in slots[l] for h in langid.HASHES) for g in gs)
+            c[l] = max(hits - len(gs) * fp[l], 0) / (1 - fp[l])
+        best = max(langs, key=lambda l: (c[l], [-ord(x) for x in l]))
+        if c[best] <= 0:
+            out.append((prior, 0.0))
+            continue
+        rest = max((c[l] for l in langs if l != best), default=0.0)
+        out.append((best, c[best] / (c[best] + rest)))
+    return out
+
+
+def test_query_equals_plain_reference(spark, sf_small):
+    """Fit and prediction of the registered query, row by row, against loops over sets of windows."""
+    from tallyhour.llm.entry_queries import op7_language_filters
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang")
+    known = docs.where((fold("doc_id", 4) != 2) & F.col("lang").isNotNull())
+    rows = docs.orderBy("doc_id").collect()
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    assert known.count() < langid.SAMPLE_DOCS  # all are learned from
+    sample = [tuple(r) for r in known.dropDuplicates(["doc_id", "text"]).collect()]
+    want = plain_reference({"sample": sample, "counts": counts, "texts": [r["text"] for r in rows]}, langid.SAMPLE_DOCS)
+    got = {r["doc_id"]: r for r in op7_language_filters(spark, sf_small).collect()}
+    for r, (lang, score) in zip(rows, want):
+        assert got[r["doc_id"]]["lang_pred"] == lang and abs(got[r["doc_id"]]["score"] - score) < 1e-9
+
+
+def test_numerals_are_no_letters(docs_of):
+    f = langid.fit(corpus(docs_of))
+    for text in ("½", "²", "①", "Ⅷ", "5 ½ ②", "٣", "_"):
+        assert f.predict(text)[0] == "und"
+    for text in ("x", "é", "ª", "日", "ʰ"):
+        assert f.predict(text)[0] != "und"
+
+
+def test_sample_takes_the_least_hashes_and_copies_once(spark, docs_of):
+    rows = [(i, f"text {i}", "en") for i in range(500)] + [(7, "copy", "en")] * 3000 + [(i, f"t {i}", "de") for i in range(20)]
+    known = docs_of(rows).select("doc_id", "text", "lang")
+    h = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
+    for k in (5, 100, 5000):
+        got = sorted(map(tuple, langid.pick(known, {"en": 3500, "de": 20}, k).collect()))
+        want = []
+        for lang in ("en", "de"):
+            want += [(r["text"], lang) for r in known.where(F.col("lang") == lang).withColumn("h", h).distinct().orderBy("h").limit(k).collect()]
+        assert got == sorted(want)

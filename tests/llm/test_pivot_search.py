@@ -77,3 +77,32 @@ def test_annuli_are_skipped():
     best = np.sort((x[1:] @ x[0]))[-10]
     d = ps.distances(ps.lift(x[150:], top), ps.lift(np.rint(base).astype(np.int64), top))[:, 3]
     assert q.bound(3, d.min(), d.max())[0] < best  # another cluster's annulus cannot hold a result
+
+
+def test_rows_of_one_id_are_one_vector_as_in_the_sql(spark, tmp_path):
+    import duckdb
+    from tallyhour.llm.entry_queries import OP5_SQL, op5_pivot_search
+    rng = np.random.default_rng(11)
+    rows = [(int(i), [float(x) for x in rng.integers(-3, 4, 3) / 4]) for i in rng.integers(0, 400, 900)]
+    rows += rows[:50] + [(100, None), (200, [1.0, None, 0.0]), (300, [float("nan"), 0.0, 1.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(OP5_SQL).fetchall())
+    got = sorted(tuple(r) for r in op5_pivot_search(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == want and len(want) >= 30
+
+
+def test_values_that_leave_64_bits_are_an_error(spark):
+    import pytest
+    schema = "vec_id long, embedding array<double>"
+    ok = spark.createDataFrame([(0, [2.0 ** 20, -2.0 ** 20]), (1, [2.0 ** 20, 0.0]), (2, [-2.0 ** 20, 1.0])], schema)
+    v = pivot_search.integer_vectors(ok, 1024.0)
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in pivot_search.top_k(v, v.where("vec_id = 0"), 2).collect()}
+    assert got == {(0, 1): 2 ** 60, (0, 2): -(2 ** 60) - 2 ** 40}
+    for rows in ([(0, [2.0 ** 52])], [(0, [1e300]), (1, [0.0])]):
+        with pytest.raises(Exception, match="2\\*\\*62"):
+            pivot_search.integer_vectors(spark.createDataFrame(rows, schema), 1024.0).collect()
+    big = pivot_search.integer_vectors(spark.createDataFrame([(0, [2.0 ** 30]), (1, [2.0 ** 30])], schema), 1024.0)
+    with pytest.raises(OverflowError):
+        pivot_search.top_k(big, big, 1)

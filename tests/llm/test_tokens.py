@@ -165,9 +165,9 @@ def test_scan_block():
     assert n.tolist() == [] and tail == 2
 
 
-def flat_files(tmp_path, parts):
+def flat_files(tmp_path, parts, kind="<u4"):
     for i, p in enumerate(parts):
-        np.array(p, "<u4").tofile(tmp_path / f"part-{i:05d}-x-c000.bin")
+        np.array(p, kind).tofile(tmp_path / f"part-{i:05d}-x-c000.bin")
     return str(tmp_path)
 
 
@@ -181,7 +181,8 @@ def test_documents_may_cross_blocks_and_files(spark, tmp_path, monkeypatch, bloc
     cuts = sorted(rng.choice(len(ids), 17, replace=False).tolist())
     parts = [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
     parts.insert(3, [])
-    got = sorted(map(tuple, separator_scan.scan(spark, flat_files(tmp_path, parts), 9).collect()))
+    width = 2 if block == 3 else 4
+    got = sorted(map(tuple, separator_scan.scan(spark, flat_files(tmp_path, parts, f"<u{width}"), 9, width).collect()))
     want, start = [], 0
     for e in np.flatnonzero(ids == 9).tolist():
         want.append((len(want), start, e + 1 - start, True))
@@ -211,5 +212,34 @@ def test_token_counts_on_tables(spark, docs_of, sf_small):
     assert sorted(map(tuple, op2_separator_scan(spark, sf_small).collect())) == want(table)
 
 
+@pytest.mark.parametrize("width", [2, 4])
+def test_long_documents_fill_several_bounded_files(spark, docs_of, tmp_path, monkeypatch, width):
+    """Files are bounded by bytes, not documents; counts come back in order of doc_id whatever the table's order."""
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    enc = separator_scan.encoding(ranks)
+    monkeypatch.setattr(separator_scan, "RECORD_BYTES", 200)
+    monkeypatch.setattr(separator_scan, "FILE_BYTES", 1500)
+    monkeypatch.setattr(separator_scan, "BLOCK_IDS", 64)
+    rows = [(i * 7 % 101, f"text {i} " * (1 + i % 13) + "\n\x00\xff ÿ" * (i % 3)) for i in range(101)]
+    docs = docs_of(rows).repartition(3)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    separator_scan.write_flat(docs, ranks, 50256, str(tmp_path / "flat"), width)
+    files = [f for f in os.listdir(tmp_path / "flat") if f.startswith("part-")]
+    assert len(files) > 6 and max(os.path.getsize(tmp_path / "flat" / f) for f in files) <= 1500
+    got = sorted(map(tuple, separator_scan.token_counts(docs, ranks, 50256, width).collect()), key=lambda r: r[1])
+    want, start = [], 0
+    for i, (d, t) in enumerate(sorted(rows)):
+        n = len(enc.encode_ordinary(t)) + 1
+        want.append((d, i, start, n))
+        start += n
+    assert got == want
+
+
+def test_ids_that_do_not_fit_are_an_error(spark, docs_of, tmp_path):
+    with pytest.raises(ValueError, match="does not fit"):
+        separator_scan.write_flat(docs_of([(1, "a")]), vocabulary("byte_bpe_50k.tiktoken"), 1 << 16, str(tmp_path / "x"), 2)
+
+
 def test_scratch_paths_differ(spark):
     assert scratch(spark, "a") != scratch(spark, "a")
