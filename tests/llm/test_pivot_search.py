@@ -7,19 +7,14 @@ from tallyhour.llm import pivot_search as ps
 
 
 def brute(rows, k=10, step=100, scale=1024.0):
-    good = []
+    least = {}
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        x = tuple(int(c) for c in np.trim_zeros(np.floor(scale * np.array(v, np.float64)), "b"))
-        good.append((i, x))
-    good = sorted(set(good))
-    asked = {}
-    for i, x in good:
-        if i % step == 0:
-            key = np.array(x, "<i8").tobytes()
-            if i not in asked or key < asked[i][0]:
-                asked[i] = (key, x)
+        x = tuple(int(c) for c in np.floor(scale * np.array(v, np.float64)))
+        least[i] = min(least.get(i, x), x)
+    good = sorted(least.items())
+    asked = {i: (None, x) for i, x in good if i % step == 0}
     out = []
     for q, (_, x) in asked.items():
         s = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q)[:k]
@@ -97,12 +92,12 @@ def test_values_that_leave_64_bits_are_an_error(spark):
     import pytest
     schema = "vec_id long, embedding array<double>"
     ok = spark.createDataFrame([(0, [2.0 ** 20, -2.0 ** 20]), (1, [2.0 ** 20, 0.0]), (2, [-2.0 ** 20, 1.0])], schema)
-    v = pivot_search.integer_vectors(ok, 1024.0)
-    got = {(r["query_id"], r["vec_id"]): r["score"] for r in pivot_search.top_k(v, v.where("vec_id = 0"), 2).collect()}
+    v = ps.integer_vectors(ok, 1024.0)
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in ps.top_k(v, v.where("vec_id = 0"), 2).collect()}
     assert got == {(0, 1): 2 ** 60, (0, 2): -(2 ** 60) - 2 ** 40}
     for rows in ([(0, [2.0 ** 52])], [(0, [1e300]), (1, [0.0])]):
         with pytest.raises(Exception, match="2\\*\\*62"):
-            pivot_search.integer_vectors(spark.createDataFrame(rows, schema), 1024.0).collect()
-    big = pivot_search.integer_vectors(spark.createDataFrame([(0, [2.0 ** 30]), (1, [2.0 ** 30])], schema), 1024.0)
+            ps.integer_vectors(spark.createDataFrame(rows, schema), 1024.0).collect()
+    big = ps.integer_vectors(spark.createDataFrame([(0, [2.0 ** 30]), (1, [2.0 ** 30])], schema), 1024.0)
     with pytest.raises(OverflowError):
-        pivot_search.top_k(big, big, 1)
+        ps.top_k(big, big, 1)
