@@ -327,6 +327,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_skipped_source": _skipped_source,
         "merge_key_profile": _key_profile,
         "gam_hour_gate": _gam_gate,
+        "events_late_files": _scenario(scenarios.late_files, mode="safe"),
+        "parity_events_late_files": _scenario(scenarios.late_files, mode="parity"),
+        "events_stream_stateful": _scenario(scenarios.stateful_stream),
+        "persisted_crash_recovery": _scenario(scenarios.persisted_crash_recovery),
+        "dp_ledger_late_and_restated": _scenario(scenarios.ledger_late_and_restated),
+        "merge_replace_hours": _scenario(scenarios.replace_hours),
+        "merge_overlap_counts": scenarios.merge_counts,
+        "gam_allocation_exact_counts": _scenario(scenarios.gam_exact_counts),
         **_llm_queries(),
     }
 

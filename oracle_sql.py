@@ -590,15 +590,112 @@ def ssp_twins_ctes(mode: str) -> dict[str, str]:
 def partner_twins_ctes(mode: str) -> dict[str, str]:
     p = pipeline_ctes("parity")
     c = {k: p[k] for k in p if k in VIEWS or k in ("ssot0", "ev_wm", "ev_hosts", "ev_pull", "ev_sums", "ev_grouped")}
-    c["dp_pull"] = f"""select * replace (if(impressions % 2 = 1, 'unmapped_b', ad_unit) as ad_unit), report_date as max_demand_partner_date
- from fact_demand_partner_reports where report_date = {CUTOFF}"""
+    c["dp_pull"] = """select * replace (if(impressions % 2 = 1, 'unmapped_b', ad_unit) as ad_unit), report_date as max_demand_partner_date
+ from fact_demand_partner_reports"""
     c["dp_grouped"], c["dp_mapped"] = p["dp_grouped"], p["dp_mapped"]
     c["dp_slice"] = f"""select {', '.join(GRAIN)}, tracked_event_count from ev_grouped
- where event = 'served' and network not in ('GAM', 'MinuteSSP') and event_date = {CUTOFF}"""
+ where event = 'served' and network not in ('GAM', 'MinuteSSP')
+ and event_date in (select report_date from fact_demand_partner_reports)"""
     c["dp_allocated"] = _dp_alloc_sql(mode == "parity")
     return c
 
 
+def late_files_ctes(found: bool) -> dict[str, str]:
+    """Events but for late ones loaded; then the hours of the late ones and those after the watermark, over all events."""
+    late = "(organizationId = 'org_2' and cast(timestamp as date) between date '2024-01-03' and date '2024-01-06')"
+    first = _restricted(pipeline_ctes("safe"), NOTHING | {"events_stream": f"not coalesce({late}, false)"})
+    step = pipeline_ctes("safe", run_ts=RUN_TS2)
+    after = "timestamp >= (select increment_column from ev_wm)"
+    again = f" or date_trunc('hour', timestamp) in (select date_trunc('hour', timestamp) from events_stream where {late})" if found else ""
+    step["ev_hosts"] = re.sub(r"from events_stream where .*\Z", f"from events_stream where {after}{again}", step["ev_hosts"], flags=re.S)
+    order = ["ev_wm", "ev_hosts", "ev_pull", "ev_sums", "ev_grouped", "ssot1"]
+    return _after(first, {k: step[k] for k in order}, target="ssot1")
+
+
+def ledger_ctes() -> dict[str, str]:
+    """Partner reports of a first run, then those that are new or differ in the second: each pair's rows are compared as sorted text."""
+    where = NOTHING | {"fact_demand_partner_reports": "not (partner_name = 'Triplelift' and day(report_date) % 2 = 0)"}
+    del where["events_stream"]
+    first = _restricted(pipeline_ctes("safe"), where)
+    p = pipeline_ctes("safe", run_ts=RUN_TS2, today=TODAY2)
+    again = "partner_name = 'Magnite' and report_date <= date '2024-01-10'"
+    text = "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '~')" for c in ("property_code", "ad_unit", "geo", "impressions", "revenue_usd")) + ")"
+    forms = lambda t: f"select report_date, partner_name, string_agg({text}, ';' order by {text}) as form from {t} group by all"
+    step = {
+        "ssot3": "select * from ssot0",
+        "reports": f"""select * replace (if({again}, revenue_usd * 2, revenue_usd) as revenue_usd) from fact_demand_partner_reports
+ where not ({again} and property_code = 'org_0')""",
+        "forms_then": forms("some_fact_demand_partner_reports"), "forms_now": forms("reports"),
+        "dp_dates": """select n.report_date, n.partner_name, t.form is not null as restated from forms_now n
+ left join forms_then t on n.report_date = t.report_date and n.partner_name = t.partner_name where t.form is distinct from n.form""",
+        "dp_pull": """select r.*, r.report_date as max_demand_partner_date from reports r
+ semi join dp_dates d on r.report_date = d.report_date and r.partner_name = d.partner_name""",
+        "dp_grouped": p["dp_grouped"], "dp_mapped": p["dp_mapped"], "dp_slice": p["dp_slice"], "dp_allocated": p["dp_allocated"],
+        "merged": p["ssot4"],
+        "ssot4": f"""select m.* replace (if(gone, null, m.reconciled_event_count) as reconciled_event_count, if(gone, null, m.actual_revenue) as actual_revenue,
+   if(gone, null, m.max_demand_partner_date) as max_demand_partner_date, if(gone, {RUN_TS2}, m.dwh_updated_at) as dwh_updated_at) from (
+   select *, max_demand_partner_date is not null and dwh_updated_at < {RUN_TS2} and exists (select 1 from dp_dates d
+     where d.restated and d.report_date = merged.event_date and d.partner_name = merged.network) as gone from merged) m""",
+    }
+    out = _after(first, step, target="ssot4")
+    out["ledger_final"] = "select * exclude (gone) from r2_ssot4"
+    return out
+
+
+def replace_hours_ctes() -> dict[str, str]:
+    """Events and partners loaded; one day's events again without a line item."""
+    where = {k: v for k, v in NOTHING.items() if k not in ("events_stream", "fact_demand_partner_reports")}
+    first = _restricted(pipeline_ctes("safe"), where)
+    step = pipeline_ctes("safe", run_ts=RUN_TS2)
+    step["ev_hosts"] = re.sub(r"from events_stream where .*\Z", f"from events_stream where cast(timestamp as date) = {CUTOFF} "
+                              "and lineItem is distinct from '1'", step["ev_hosts"], flags=re.S)
+    order = ["ev_hosts", "ev_pull", "ev_sums", "ev_grouped", "ssot1"]
+    out = _after(first, {k: step[k] for k in order}, target="ssot4")
+    gone = f"event_date = {CUTOFF} and tracked_event_count is not null and dwh_updated_at < {RUN_TS2}"
+    out["replaced"] = f"""select * replace (if({gone}, null, tracked_event_count) as tracked_event_count,
+   if({gone}, null, estimated_revenue) as estimated_revenue, if({gone}, null, max_events_stream_timestamp) as max_events_stream_timestamp,
+   if({gone}, {RUN_TS2}, dwh_updated_at) as dwh_updated_at)
+ from r2_ssot1 where not ({gone} and reconciled_event_count is null and max_demand_partner_date is null)"""
+    return out
+
+
+def _merge_counts_sql() -> str:
+    """Matched and inserted rows of each merge, by joins of its target and source."""
+    on = " and ".join(f"t.{k} is not distinct from s.{k}" for k in GRAIN)
+    parts = []
+    for source, target, src, result, inserts, cond in (
+            ("events_stream", "ssot0", "ev_grouped", "ssot1", True, "true"), ("ssp", "ssot1", "ssp_exploded", "ssot2", True, "true"),
+            ("syndication", "ssot2", "syn_exploded", "ssot3", True, "true"),
+            ("demand_partner", "ssot3", "dp_allocated", "ssot4", False, "true"),
+            ("gam", "ssot4", "gam_allocated", "ssot5", False, "t.network = 'GAM'")):
+        over = "count(*) filter (t.tracked_event_count is not null)" if source in ("ssp", "syndication") else "0"
+        parts.append(f"""select '{source}' as source, m.n as matched, {f"(select count(*) from {src}) - m.n" if inserts else "0"} as inserted,
+ 0 as withdrawn, 0 as deleted, m.o as overlaps, (select count(*) from {result}) as fact_rows
+ from (select count(*) as n, {over} as o from {target} t join {src} s on {on} and {cond}) m""")
+    return "select source, " + ", ".join(f"cast({c} as bigint) as {c}" for c in (
+        "matched", "inserted", "withdrawn", "deleted", "overlaps", "fact_rows")) + " from (" + "\nunion all\n".join(parts) + ")"
+
+
+def exact_counts_ctes() -> dict[str, str]:
+    """GAM over events only; shares in whole numbers, what is missing by rank of the remainders."""
+    where = {k: v for k, v in NOTHING.items() if k not in ("events_stream", "fact_gam_data_transfer")}
+    c = _restricted(pipeline_ctes("safe"), where)
+    group = "event_date, event_hour, line_item, country, unit"
+    meets = "x.event_date = g.event_date and x.event_hour = g.event_hour and x.line_item is not distinct from g.line_item " \
+        "and x.country is not distinct from g.country and x.unit = try_cast(g.ad_unit_id as bigint)"
+    total, events = "cast(total_gam_impressions as hugeint)", "cast(tracked_event_count as hugeint)"
+    c["gam_exact"] = f"""with j as (select x.*, g.total_gam_impressions, g.total_gam_revenue, g.max_gam_timestamp from gam_units x join gam_grouped g on {meets}),
+ d as (select *, sum(tracked_event_count) over (partition by {group}) as whole from j),
+ s as (select *, {total} * {events} // whole as base, {total} * {events} % whole as rest from d),
+ r as (select *, total_gam_impressions - sum(base) over (partition by {group}) as missing, row_number() over (
+   partition by {group} order by rest desc, {', '.join(k + ' nulls first' for k in GRAIN)}) as place from s)
+ select {', '.join(GRAIN)}, tracked_event_count, total_gam_impressions, total_gam_revenue, max_gam_timestamp,
+ cast(whole as bigint) as total_tracked_for_group, tracked_event_count / whole as weight,
+ cast(base + if(place <= missing, 1, 0) as bigint) as allocated_reconciled_event_count,
+ total_gam_revenue * (tracked_event_count / whole) as allocated_actual_revenue from r"""
+    return c
+
+
 URL_SHAPES = """select domain, count(*) as events from (
  select case event_id % 8 when 0 then 'site' || k || '.example.com' when 1 then 'cdn.site' || k || '.example.com'
    when 2 then 'site' || k || '.example.com' when 3 then 'b\u00fccher' || k || '.de' when 4 then '[::' || k || ']'
@@ -626,6 +723,15 @@ _SCENARIOS = {
  from events_stream where cast(timestamp as date) < {CUTOFF} group by all""", []),
     "merge_skipped_source": (lambda: pipeline_ctes("safe"), "select * from ssot5", _SSOT_D),
     "merge_key_profile": (lambda: pipeline_ctes("safe"), _PROFILE, []),
+    "events_late_files": (lambda: late_files_ctes(True), "select * from r2_ssot1", _SSOT_D),
+    "parity_events_late_files": (lambda: late_files_ctes(False), "select * from r2_ssot1", _SSOT_D),
+    "events_stream_stateful": (lambda: pipeline_ctes("safe"), "select * from ssot1", _SSOT_D),
+    "persisted_crash_recovery": (persisted_ctes, "select * from (select *, 'after_crash' as state from ssot5 union all "
+                                 "select *, 'recovered' as state from r2_ssot5)", _SSOT_D),
+    "dp_ledger_late_and_restated": (ledger_ctes, "select * from ledger_final", _SSOT_D),
+    "merge_replace_hours": (replace_hours_ctes, "select * from replaced", _SSOT_D),
+    "merge_overlap_counts": (lambda: pipeline_ctes("safe"), _merge_counts_sql(), []),
+    "gam_allocation_exact_counts": (exact_counts_ctes, "select * from gam_exact", ["total_gam_revenue", "weight", "allocated_actual_revenue"]),
     "gam_hour_gate": (lambda: dict(VIEWS), """select h as hour_of_day, h = 17 as due, count(*) as events
  from (select hour(ts) as h from events) group by all""", []),
 }

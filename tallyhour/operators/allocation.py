@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyhour.functions.exprs import allocate_count, allocate_revenue, null_safe_eq, proportional_weight
 from tallyhour.operators.grouping import exact_money_sum
 from tallyhour.operators.mapping import map_gam_ad_unit, map_partner_ad_unit
+from tallyhour.operators.ranking import largest_remainder
 from tallyhour.schemas import ALL_UNITS, GRAIN, SERVED_EVENT
 
 SLICE_COLUMNS = GRAIN + ["tracked_event_count"]
@@ -58,7 +59,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], rkeys:
 
 
 def gam_allocation(slice_df: DataFrame, grouped: DataFrame, ad_unit_dim: DataFrame, *,
-                   null_mode: str = "null_safe") -> DataFrame:
+                   null_mode: str = "null_safe", count_method: str = "round") -> DataFrame:
     """G-04: spread GAM hourly totals over GAM traffic rows of the same hour, line item,
     country and (mapped) ad unit, in proportion to tracked events.
 
@@ -67,7 +68,12 @@ def gam_allocation(slice_df: DataFrame, grouped: DataFrame, ad_unit_dim: DataFra
     ``T(P) * n(P)`` with ``T`` the traffic sum and ``n`` the number of totals rows
     matching P (normally 1). Both come from small P-level tables, so the
     row-level join with the traffic runs once and no task holds a whole group.
+
+    ``count_method``: "round" rounds each row's count by itself, as the reference does;
+    "largest_remainder" gives counts that add up to each totals row's count, ties by grain (H11).
     """
+    if count_method not in ("round", "largest_remainder"):
+        raise ValueError(f"unknown count method {count_method!r}")
     pk = ["event_date", "event_hour", "line_item", "country", "_map_unit"]
     t = map_gam_ad_unit(slice_df, ad_unit_dim, out_col="_map_unit")
     # The totals join needs a mapped unit id: unmapped traffic can never match.
@@ -86,9 +92,13 @@ def gam_allocation(slice_df: DataFrame, grouped: DataFrame, ad_unit_dim: DataFra
     gp = tp.join(g, cond, "inner").withColumn(
         "total_tracked_for_group", F.col("_T") * F.count(F.lit(1)).over(Window.partitionBy(*pk)))
     gp = gp.select(*[F.col(k).alias("_p_" + k) for k in pk], "total_gam_impressions", "total_gam_revenue",
-                   "max_gam_timestamp", "total_tracked_for_group")
+                   "max_gam_timestamp", "total_tracked_for_group", "_g_li", "_g_country")
     j = t.join(gp, _null_safe_on(t, gp, pk, ["_p_" + k for k in pk]), "inner")
     j = apply_weights(j, count_total="total_gam_impressions", revenue_total="total_gam_revenue")
+    if count_method == "largest_remainder":
+        j = largest_remainder(j.drop("allocated_reconciled_event_count"), [*pk, "_g_li", "_g_country"], "total_gam_impressions",
+                              "tracked_event_count", "total_tracked_for_group", [F.col(k).asc_nulls_first() for k in GRAIN],
+                              "allocated_reconciled_event_count")
     return j.select(*SLICE_COLUMNS, "total_gam_impressions", "total_gam_revenue", "max_gam_timestamp",
                     "total_tracked_for_group", "weight", "allocated_reconciled_event_count",
                     "allocated_actual_revenue")

@@ -10,9 +10,11 @@ Parquet tables have no row-level MERGE, so a merge is expressed as a join:
    output column resolved with ``when(matched ...)``; target rows of a touched
    partition that ``prune`` keeps from matching are carried through unchanged,
    since their whole partition is rewritten;
-4. the result is ``untouched UNION merged``; ``write_ssot_partitions`` persists
-   only the merged partitions with dynamic partition overwrite, after
-   :func:`check_no_loss` compared them with what they replace.
+4. with a replacement rule (``MergeSpec.replace``), target rows that the source
+   should hold but does not are deleted or emptied (H19, H20);
+5. the result is ``untouched UNION merged``; a versioned commit (``sources.versions``)
+   writes the merged partitions and switches to them; rows in, rows out and the
+   counts observed in the same pass must add up (:func:`check_counts`).
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ import datetime as _dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import ts_lit
 from tallyhour.schemas import GAM_NETWORK, GRAIN, NULL_SENTINEL, OWNER_NETWORK, REQUIRED_GRAIN
 
 SRC = "_s_"
+#: Marks target rows that join ``MergeSpec.scope``.
+IN_SCOPE = "_in_scope"
 
 
 def S(c: str) -> Column:
@@ -58,6 +62,15 @@ class MergeSpec:
     target_condition: Column | None = None
     prune: Column | None = None
     date_col: str = "event_date"
+    #: target rows that the source covers; those without a source row are withdrawn
+    replace: Column | None = None
+    #: rows (of some grain columns, distinct) that ``replace`` can test as ``IN_SCOPE``
+    scope: DataFrame | None = None
+    #: which withdrawn rows are deleted, and what the others are set to
+    delete: Column | None = None
+    withdraw: Mapping[str, Column] = field(default_factory=dict)
+    #: matched target rows that count as overlaps between two sources (H18)
+    overlap: Column | None = None
 
 
 @dataclass
@@ -65,6 +78,7 @@ class MergeResult:
     table: DataFrame            # full new target
     merged: DataFrame | None    # rows of the touched partitions only
     dates: list                 # touched partition values
+    observation: Observation | None = None
 
 
 def _key_eq(k: str, spec: MergeSpec) -> Column:
@@ -153,8 +167,24 @@ def check_no_loss(before: DataFrame, merged: DataFrame, dates: Sequence, date_co
             f"{r[date_col]}: {r['before']} -> {r['after']}" for r in lost))
 
 
+def check_counts(before: Mapping, after: Mapping, observed: Mapping[str, int]) -> None:
+    """Raise unless the touched dates hold the rows they had, those inserted, less those deleted.
+
+    ``before`` and ``after`` are exact rows by date. Observed counts can be too high where a stage
+    ran again after a lost executor, so a difference alone is no proof: it is one if rows
+    were deleted, or if some date has fewer rows than before.
+    """
+    expected = sum(before.values()) + observed["inserted"] - observed["deleted"]
+    if sum(after.values()) == expected:
+        return
+    lost = {d: (n, after.get(d, 0)) for d, n in before.items() if after.get(d, 0) < n}
+    if lost or observed["deleted"]:
+        raise MergeLossError(f"merge would hold {sum(after.values())} rows where {expected} are due: " + ", ".join(
+            f"{d}: {a} -> {b}" for d, (a, b) in sorted(lost.items())[:10]))
+
+
 def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
-               dates: Iterable | None = None, check_cardinality: bool = True,
+               dates: Iterable | None = None, check_cardinality: bool = True, observation: Observation | None = None,
                materialize: Callable[[DataFrame], DataFrame] | None = None,
                materialize_scope: str = "merged") -> MergeResult:
     """Merge ``source`` into ``target`` (both DataFrames); returns the new target.
@@ -164,7 +194,9 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
     checkpoint) is applied to the merged touched partitions (``merged``: what a
     partition-level writer needs) or to the whole new table (``table``: keeps an
     in-memory table compact, one piece instead of a growing union); the new
-    target is ``untouched UNION merged``.
+    target is ``untouched UNION merged``. ``observation`` collects, while the merged rows are
+    computed, how many target rows were matched, withdrawn, deleted or overlapping and how many
+    source rows were inserted.
     """
     dc = spec.date_col
     src = source.select(*[F.col(c).alias(SRC + c) for c in source.columns], F.lit(True).alias(SRC + "present"))
@@ -189,15 +221,35 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
     if check_cardinality and (max_dup or 0) > 1:
         check_single_match(touched, src, spec)
     t = touched.withColumn("_t_present", F.lit(True))
+    if spec.scope is not None:
+        keys = spec.scope.columns
+        scope = spec.scope.select(*[F.col(k).alias("_k_" + k) for k in keys], F.lit(True).alias(IN_SCOPE))
+        for i, k in enumerate(keys):
+            on = t[k].eqNullSafe(scope["_k_" + k]) if i == 0 else on & t[k].eqNullSafe(scope["_k_" + k])  # noqa: F821
+        t = t.join(scope, on, "left").drop(*["_k_" + k for k in keys])
     how = "full_outer" if spec.insert is not None else "left"
     j = t.join(src, join_condition(spec), how)
     matched = F.col("_t_present").isNotNull() & F.col(SRC + "present").isNotNull()
     source_only = F.col("_t_present").isNull()
+    withdrawn = deleted = F.lit(False)
+    if spec.replace is not None:
+        withdrawn = F.col("_t_present").isNotNull() & F.col(SRC + "present").isNull() & F.coalesce(spec.replace, F.lit(False))
+        if spec.delete is not None:
+            deleted = withdrawn & F.coalesce(spec.delete, F.lit(False))
+    if observation is not None:
+        overlap = matched & F.coalesce(spec.overlap, F.lit(False)) if spec.overlap is not None else F.lit(False)
+        j = j.observe(observation, *[F.count_if(c).alias(n) for n, c in (
+            ("matched", matched), ("inserted", source_only), ("withdrawn", withdrawn & ~deleted), ("deleted", deleted),
+            ("overlaps", overlap))])
+    if spec.delete is not None:
+        j = j.where(~deleted)
     cols = []
     for c in target.columns:
         e = T(c)
         if c in spec.update:
             e = F.when(matched, spec.update[c]).otherwise(e)
+        if c in spec.withdraw:
+            e = F.when(withdrawn, spec.withdraw[c]).otherwise(e)
         if spec.insert is not None:
             ins = spec.insert.get(c, F.lit(None))
             e = F.when(source_only, ins).otherwise(e)
@@ -226,10 +278,23 @@ def _insert_all(columns: Sequence[str], run_ts) -> dict[str, Column]:
     return ins
 
 
+def _unreconciled() -> Column:
+    """Rows that only traffic has written to."""
+    none = F.col("reconciled_event_count").isNull()
+    for c in ("max_gam_timestamp", "max_demand_partner_date", "max_ssp_date", "max_syndication_date"):
+        none = none & F.col(c).isNull()
+    return none
+
+
 def events_spec(run_ts: _dt.datetime, *, null_mode: str = "null_safe", owner_actual: str = "coalesce",
-                owner: str = OWNER_NETWORK) -> MergeSpec:
+                owner: str = OWNER_NETWORK, replace_hours: tuple | None = None) -> MergeSpec:
     """I-01: events upsert. Actual revenue is overwritten only for the owner network
-    (others keep what partner reconciliation wrote)."""
+    (others keep what partner reconciliation wrote).
+
+    ``replace_hours`` (first hour, hour after the last; either may be None) names hours that were
+    pulled in full: their traffic rows without a source row are deleted, or, where another source
+    has reconciled them, lose their traffic (H19).
+    """
     if owner_actual == "replace":
         actual = F.when(S("network") == F.lit(owner), S("actual_revenue")).otherwise(T("actual_revenue"))
     elif owner_actual == "coalesce":
@@ -246,10 +311,21 @@ def events_spec(run_ts: _dt.datetime, *, null_mode: str = "null_safe", owner_act
     }
     insert = _insert_all(GRAIN + ["tracked_event_count", "actual_revenue", "estimated_revenue",
                                   "max_events_stream_timestamp"], run_ts)
-    return MergeSpec(update=update, insert=insert, plain_keys=REQUIRED_GRAIN, null_mode=null_mode)
-
-
-def _daily_spec(run_ts, wm, wm_col: str, *, null_mode: str, watermark_on_insert: bool) -> MergeSpec:
+    spec = MergeSpec(update=update, insert=insert, plain_keys=REQUIRED_GRAIN, null_mode=null_mode)
+    if replace_hours is not None:
+        lo, hi = replace_hours
+        spec.replace = F.col("tracked_event_count").isNotNull()
+        if lo is not None:
+            spec.replace = spec.replace & (F.col("event_hour") >= ts_lit(lo))
+        if hi is not None:
+            spec.replace = spec.replace & (F.col("event_hour") < ts_lit(hi))
+        spec.delete = _unreconciled()
+        spec.withdraw = {"tracked_event_count": F.lit(None), "estimated_revenue": F.lit(None),
+                         "max_events_stream_timestamp": F.lit(None), "dwh_updated_at": ts_lit(run_ts)}
+    return spec
+
+
+def _daily_spec(run_ts, wm, wm_col: str, *, null_mode: str, watermark_on_insert: bool, replace_dates: bool) -> MergeSpec:
     update = {
         "reconciled_event_count": S("reconciled_event_count"),
         "actual_revenue": S("actual_revenue"),
@@ -262,32 +338,56 @@ def _daily_spec(run_ts, wm, wm_col: str, *, null_mode: str, watermark_on_insert:
     prune = None
     if wm is not None:
         prune = F.col("event_date") >= F.date_sub(F.lit(wm).cast("date"), 1)
-    return MergeSpec(update=update, insert=_insert_all(cols, run_ts), plain_keys=REQUIRED_GRAIN + ["network"],
-                     null_mode=null_mode, prune=prune)
-
-
-def ssp_spec(run_ts, wm=None, *, null_mode: str = "null_safe", watermark_on_insert: bool = True) -> MergeSpec:
-    """I-02: SSP upsert (reference omits ``max_ssp_date`` on insert: ``watermark_on_insert=False``)."""
-    return _daily_spec(run_ts, wm, "max_ssp_date", null_mode=null_mode, watermark_on_insert=watermark_on_insert)
+    spec = MergeSpec(update=update, insert=_insert_all(cols, run_ts), plain_keys=REQUIRED_GRAIN + ["network"],
+                     null_mode=null_mode, prune=prune, overlap=F.col("tracked_event_count").isNotNull())
+    if replace_dates:  # the pull takes whole days from the watermark on
+        spec.replace = F.col(wm_col).isNotNull()
+        if wm is not None:
+            spec.replace = spec.replace & (F.col("event_date") >= F.lit(wm).cast("date"))
+        spec.delete = F.col("tracked_event_count").isNull()
+        spec.withdraw = {"reconciled_event_count": F.lit(None), "actual_revenue": F.lit(None), wm_col: F.lit(None),
+                         "dwh_updated_at": ts_lit(run_ts)}
+    return spec
+
+
+def ssp_spec(run_ts, wm=None, *, null_mode: str = "null_safe", watermark_on_insert: bool = True,
+             replace_dates: bool = False) -> MergeSpec:
+    """I-02: SSP upsert (reference omits ``max_ssp_date`` on insert: ``watermark_on_insert=False``).
+
+    ``replace_dates``: rows that an earlier form of a re-pulled report wrote and this one does not
+    hold are deleted, or emptied where they also hold traffic (H20). Rows that also hold
+    first-party traffic count as overlaps (H18).
+    """
+    return _daily_spec(run_ts, wm, "max_ssp_date", null_mode=null_mode, watermark_on_insert=watermark_on_insert,
+                       replace_dates=replace_dates)
 
 
 def syndication_spec(run_ts, wm=None, *, null_mode: str = "null_safe",
-                     watermark_on_insert: bool = True) -> MergeSpec:
+                     watermark_on_insert: bool = True, replace_dates: bool = False) -> MergeSpec:
     """I-03: syndication upsert."""
     return _daily_spec(run_ts, wm, "max_syndication_date", null_mode=null_mode,
-                       watermark_on_insert=watermark_on_insert)
+                       watermark_on_insert=watermark_on_insert, replace_dates=replace_dates)
 
 
-def demand_partner_spec(run_ts, *, null_mode: str = "null_safe") -> MergeSpec:
-    """I-04: update-only; no row is created for a report without traffic."""
+def demand_partner_spec(run_ts, *, null_mode: str = "null_safe", restated: DataFrame | None = None) -> MergeSpec:
+    """I-04: update-only; no row is created for a report without traffic.
+
+    ``restated`` (event_date, network): rows that an earlier form of these reports filled and this
+    one does not reach are emptied (H20).
+    """
     update = {
         "reconciled_event_count": S("allocated_reconciled_event_count"),
         "actual_revenue": S("allocated_actual_revenue"),
         "max_demand_partner_date": S("max_demand_partner_date"),
         "dwh_updated_at": ts_lit(run_ts),
     }
-    return MergeSpec(update=update, insert=None, plain_keys=REQUIRED_GRAIN + ["network", "country"],
-                     null_mode=null_mode)
+    spec = MergeSpec(update=update, insert=None, plain_keys=REQUIRED_GRAIN + ["network", "country"], null_mode=null_mode)
+    if restated is not None:
+        spec.scope = restated
+        spec.replace = F.col(IN_SCOPE).isNotNull() & F.col("max_demand_partner_date").isNotNull()
+        spec.withdraw = {"reconciled_event_count": F.lit(None), "actual_revenue": F.lit(None),
+                         "max_demand_partner_date": F.lit(None), "dwh_updated_at": ts_lit(run_ts)}
+    return spec
 
 
 def gam_spec(run_ts, wm=None, *, null_mode: str = "null_safe") -> MergeSpec:

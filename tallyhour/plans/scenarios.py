@@ -13,12 +13,13 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhour.operators import allocation, explode, grouping, pull
+from tallyhour.operators import allocation, explode, grouping, merge, pull
 from tallyhour.plans.backfill import RUN_TS
 from tallyhour.plans.jobs import Options, consolidate, run_all, run_gam
 from tallyhour.session import configure, scratch_path
 from tallyhour.sources.fixtures import derived_inputs
-from tallyhour.sources.staging import read_ssot, write_staging
+from tallyhour.sources import versions
+from tallyhour.sources.staging import read_ssot, stage_table, write_staging
 from tallyhour.sources.tables import empty_ssot
 
 SECOND_RUN_TS = _dt.datetime(2024, 2, 2, 17, 0, 0)
@@ -65,6 +66,131 @@ def persisted_two_runs(spark: SparkSession, sf_dir: str, staged: bool = False) -
     return read_ssot(spark, path)
 
 
+class Killed(RuntimeError):
+    """Ends a run in the scenarios, as a lost driver would."""
+
+
+def persisted_crash_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table after a run that was killed before its first switch, and after the run that follows.
+
+    The killed run has written the files of all dates its first merge touched.
+    """
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    path = scratch_path(spark, "crashed")
+    opts = Options(run_ts=RUN_TS, catch_up=True)
+    run_all(spark, before(inputs, CUTOFF), path, opts)
+
+    def kill(source, commit):
+        raise Killed(source)
+
+    opts = opts.with_(run_ts=SECOND_RUN_TS)
+    try:
+        run_all(spark, inputs, path, opts, on_commit=kill)
+    except Killed:
+        pass
+    crashed = stage_table(read_ssot(spark, path), "after_crash")
+    run_all(spark, inputs, path, opts)
+    return (crashed.withColumn("state", F.lit("after_crash"))
+            .unionByName(read_ssot(spark, path).withColumn("state", F.lit("recovered"))))
+
+
+#: Magnite's reports up to this day are restated in the ledger scenario.
+RESTATED_UNTIL = _dt.date(2024, 1, 10)
+
+
+def ledger_late_and_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partner reports in two runs: Triplelift's of even days come with the second, behind the watermark, and
+    Magnite's of the first days are restated there with other revenue and without one site."""
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    reports = inputs["fact_demand_partner_reports"]
+    late = (F.col("partner_name") == "Triplelift") & (F.dayofmonth("report_date") % 2 == 0)
+    restated = (F.col("partner_name") == "Magnite") & (F.col("report_date") <= F.lit(RESTATED_UNTIL))
+    second = reports.where(~(restated & (F.col("property_code") == "org_0"))).withColumn(
+        "revenue_usd", F.when(restated, F.col("revenue_usd") * 2).otherwise(F.col("revenue_usd")))
+    path = scratch_path(spark, "ledger")
+    opts = Options(run_ts=RUN_TS, catch_up=True)
+    run_all(spark, {**inputs, "fact_demand_partner_reports": reports.where(~late)}, path, opts, sources=("events_stream", "demand_partner"))
+    run_all(spark, {**inputs, "fact_demand_partner_reports": second}, path, opts.with_(run_ts=SECOND_RUN_TS), sources=("demand_partner",))
+    return read_ssot(spark, path)
+
+
+def replace_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's events pulled again without those of one line item: their rows go, but for those that partners reconciled."""
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    opts = Options(run_ts=RUN_TS, catch_up=True)
+    ssot = consolidate(inputs, empty_ssot(spark), opts, sources=("events_stream", "demand_partner")).ssot
+    day = _dt.datetime.combine(CUTOFF, _dt.time())
+    again = inputs["events_stream"].where(~F.col("lineItem").eqNullSafe(F.lit("1")))
+    pulled = pull.pull_events(again, day, span=_dt.timedelta(days=1))
+    source = stage_table(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), "again")
+    spec = merge.events_spec(SECOND_RUN_TS, replace_hours=(day, day + _dt.timedelta(days=1)))
+    return merge.merge_into(ssot, source, spec, dates=[CUTOFF], check_cardinality=False).table
+
+
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source's merge of a persisted catch-up run did, from the table's versions (H18)."""
+    configure(spark)
+    path = scratch_path(spark, "counted")
+    run_all(spark, derived_inputs(spark, sf_dir), path, Options(run_ts=RUN_TS, catch_up=True))
+    names = ["matched", "inserted", "withdrawn", "deleted", "overlaps"]
+    rows = [(v.info["source"], *[v.info[n] for n in names], sum(v.rows.values()))
+            for v in versions.history(spark, path) if "matched" in v.info]  # five commits
+    return spark.createDataFrame(rows, "source string, " + ", ".join(f"{n} long" for n in [*names, "fact_rows"]))
+
+
+def gam_exact_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GAM allocation of all days with counts that add up to the totals (H11)."""
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    opts = Options(run_ts=RUN_TS, catch_up=True)
+    ssot = consolidate(inputs, empty_ssot(spark), opts, sources=("events_stream",)).ssot
+    return run_gam(inputs, ssot, opts.with_(count_method="largest_remainder")).detail["allocated"]
+
+
+def late_files(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Raw events in files; those of one publisher on four days come after the other days were loaded."""
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    events, landing, path = inputs["events_stream"], scratch_path(spark, "raw_events"), scratch_path(spark, "late")
+    late = (F.col("organizationId") == "org_2") & F.to_date("timestamp").between(F.lit(LATE_DAYS[0]), F.lit(LATE_DAYS[1]))
+    events.where(~late).write.parquet(landing)
+    opts = Options(run_ts=RUN_TS, catch_up=True, track_files=mode == "safe")
+    for run_ts in (RUN_TS, SECOND_RUN_TS):
+        raw = spark.read.schema(events.schema).parquet(landing)
+        run_all(spark, {**inputs, "events_stream": raw}, path, opts.with_(run_ts=run_ts), sources=("events_stream",))
+        if run_ts == RUN_TS:
+            events.where(late).write.mode("append").parquet(landing)
+    return read_ssot(spark, path)
+
+
+#: Days of the late events, and by how many days some events come late in the stateful stream.
+LATE_DAYS = (_dt.date(2024, 1, 3), _dt.date(2024, 1, 6))
+
+
+def stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through the stateful stream: files land in order of arrival, one publisher's two days late; the query
+    ends half-way and is started again from its checkpoint."""
+    from tallyhour.streaming.events_state import drain, stateful_query
+
+    configure(spark)
+    inputs = derived_inputs(spark, sf_dir)
+    events, landing = inputs["events_stream"], scratch_path(spark, "state_landing")
+    path, checkpoint = scratch_path(spark, "state_fact"), scratch_path(spark, "state_checkpoint")
+    day = F.to_date("timestamp")
+    arrival = F.when(F.col("organizationId") == "org_1", F.date_add(day, 2)).otherwise(day)
+    steps = [_dt.date(2024, 1, 1), _dt.date(2024, 1, 9), _dt.date(2024, 1, 17), _dt.date(2024, 1, 25), _dt.date(2024, 3, 1)]
+    for half in ((0, 1), (2, 3)):
+        for i in half:  # one file set after another: a stream takes files in the order they were written
+            here = events.where((arrival >= F.lit(steps[i])) & (arrival < F.lit(steps[i + 1])))
+            here.coalesce(2).write.mode("append").parquet(landing)
+        drain(stateful_query(spark, landing, inputs["dim_line_items_mapping"], path, checkpoint, run_ts=RUN_TS,
+                             late="10 days", max_files_per_trigger=2))
+    return read_ssot(spark, path)
+
+
 def events_gap(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     """One hourly events step after the days before a gap were loaded."""
     configure(spark)
@@ -135,11 +261,12 @@ def partner_twins(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     """Partner allocation where sites have two unmapped units, and exact rows beside site-wide ones."""
     configure(spark)
     inputs = derived_inputs(spark, sf_dir)
-    reports = pull.pull_date(inputs["fact_demand_partner_reports"], CUTOFF)
+    days = [r[0] for r in inputs["fact_demand_partner_reports"].select("report_date").distinct().collect()]  # bounded by days
+    reports = pull.pull_date(inputs["fact_demand_partner_reports"], days)
     odd = (F.col("impressions") % 2) == 1
     reports = reports.withColumn("ad_unit", F.when(odd, F.lit("unmapped_b")).otherwise(F.col("ad_unit")))
     traffic = grouping.group_events(pull.pull_events(inputs["events_stream"], None, span=None), inputs["dim_line_items_mapping"])
-    part = allocation.ssot_slice(traffic, [CUTOFF], exclude_networks=("GAM", "MinuteSSP"))
+    part = allocation.ssot_slice(traffic, days, exclude_networks=("GAM", "MinuteSSP"))
     return allocation.demand_partner_allocation(grouping.group_demand_partner(reports), part, inputs["dim_ad_unit_mapping"],
                                                 mode="per_row" if mode == "parity" else "per_path")
 

@@ -80,11 +80,17 @@ SSOT_CLUSTER = ["organization_id", "network", "event", "country"]
 
 
 def read_ssot(spark: SparkSession, path: str) -> DataFrame:
+    """The fact table at ``path``: its newest version, or the files of a table written in place."""
+    from tallyhour.sources import versions
+    if versions.is_versioned(spark, path):
+        return versions.read(spark, path)
     return spark.read.schema(SSOT_SCHEMA).parquet(path).select(*SSOT_COLUMNS)
 
 
 def write_ssot_partitions(merged: DataFrame, path: str) -> None:
-    """K-05: persist the touched partitions of a merge (dynamic partition overwrite).
+    """K-05 in place: persist the touched partitions of a merge (dynamic partition overwrite).
+
+    For tables without versions; ``versions.Commit`` switches all partitions at once.
 
     ``merged`` must not depend on ``path`` any more: callers checkpoint it
     first, which also makes the write restartable after executor loss.
@@ -120,6 +126,9 @@ def init_ssot(spark: SparkSession, path: str) -> None:
 
 def partition_dates(spark: SparkSession, path: str, partition_col: str = "event_date") -> list[_dt.date]:
     """The dates a table partitioned by ``partition_col`` has directories for (a listing, no data read)."""
+    from tallyhour.sources import versions
+    if versions.is_versioned(spark, path):
+        return versions.dates_of(versions.load(spark, path))
     fs, root = _filesystem(spark, path)
     if not fs.exists(root):
         return []

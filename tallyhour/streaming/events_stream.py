@@ -12,17 +12,46 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhour.functions.exprs import hour_of
 from tallyhour.operators import grouping, merge, pull
 from tallyhour.schemas import EVENTS_STREAM_SCHEMA
 from tallyhour.session import run_scratch, scratch_path
-from tallyhour.sources.staging import init_ssot, read_ssot, stage_table, write_ssot_partitions
+from tallyhour.sources import versions
+from tallyhour.sources.staging import read_ssot, stage_table
 
+#: Name of the stream's progress in the table's versions.
+BATCH = "events_stream_batch"
 
-def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, ssot_path: str, run_ts,
+
+def commit_batch(spark: SparkSession, ssot_path: str, batch_id: int, query: str, grouped: DataFrame, run_ts,
+                 null_mode: str, owner_actual: str) -> None:
+    """Merge hourly groups (full values of their hours) and the batch's number in one commit, once."""
+    version = versions.load(spark, ssot_path)
+    done = version.progress.get(BATCH, "").rpartition(":")
+    if done[0] == query and batch_id <= int(done[2]):
+        return
+    stamp = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    spec = merge.events_spec(stamp, null_mode=null_mode, owner_actual=owner_actual)
+    dates = sorted((r[0] for r in grouped.select("event_date").distinct().collect()), key=lambda d: (d is None, d))
+    commit = versions.begin(spark, ssot_path, version)
+    # the batch is grouped by the merge's own key, so no key can match twice under null-safe equality
+    observed = Observation(f"stream-{batch_id}")
+    res = merge.merge_into(versions.read(spark, ssot_path, version), grouped, spec, dates=dates,
+                           check_cardinality=null_mode != "null_safe", observation=observed)
+    counts = {}
+    if res.merged is not None:
+        after = commit.write(res.merged, res.dates, traffic=True)
+        counts = dict(observed.get)
+        merge.check_counts({k: version.rows.get(k, 0) for k in after}, after, counts)
+    commit.progress[BATCH] = f"{query}:{batch_id}"
+    commit.info = {"source": "events_stream", "run_ts": stamp.isoformat(), **counts}
+    commit.switch()
+
+
+def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, ssot_path: str, query: str, run_ts,
                 null_mode: str, owner_actual: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
         hours = [r[0] for r in batch.select(hour_of("timestamp").alias("h")).distinct().collect()
@@ -37,16 +66,7 @@ def _hour_batch(spark: SparkSession, landing: str, line_item_dim: DataFrame, sso
         with run_scratch(spark):
             # staged once: the merge reads its keys and dates, and joins it
             grouped = stage_table(grouping.group_events(pull.pull_events(raw, None, span=None), line_item_dim), "grouped")
-            target = read_ssot(spark, ssot_path)
-            spec = merge.events_spec(run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                                     null_mode=null_mode, owner_actual=owner_actual)
-            # the batch is grouped by the merge's own key, so no key can match twice under null-safe equality
-            res = merge.merge_into(target, grouped, spec, dates=sorted({h.date() for h in hours}),
-                                   check_cardinality=null_mode != "null_safe")
-            if res.merged is not None:
-                merged = stage_table(res.merged, "merged")
-                merge.check_no_loss(target, merged, res.dates)
-                write_ssot_partitions(merged, ssot_path)
+            commit_batch(spark, ssot_path, batch_id, query, grouped, run_ts, null_mode, owner_actual)
     return handle
 
 
@@ -55,13 +75,14 @@ def events_stream_query(spark: SparkSession, landing: str, line_item_dim: DataFr
                         max_files_per_trigger: int | None = None, available_now: bool = True):
     """Start the streaming load; returns the ``StreamingQuery``. Without ``run_ts`` every batch is stamped
     with its own time."""
-    init_ssot(spark, ssot_path)
+    versions.create(spark, ssot_path)
     reader = spark.readStream.schema(EVENTS_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing)
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(_hour_batch(spark, landing, line_item_dim, ssot_path, run_ts, null_mode, owner_actual)))
+         .foreachBatch(_hour_batch(spark, landing, line_item_dim, ssot_path, checkpoint, run_ts, null_mode,
+                                    owner_actual)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
