@@ -540,9 +540,26 @@ def second_run_ctes() -> dict[str, str]:
 
 
 def persisted_ctes() -> dict[str, str]:
-    """A hardened run over the days before the cutoff, then one over all days."""
+    """A hardened run over the days before the cutoff, then one over all days.
+
+    The second takes partner reports that the first did not know, and those that it could not
+    allocate and whose date has got traffic since (events are read again from the watermark's hour on).
+    """
     first = _restricted(pipeline_ctes("safe"), {k: f"cast({c} as date) < {CUTOFF}" for k, c in DAY_COLUMNS.items()})
-    return _after(first, pipeline_ctes("safe", run_ts=RUN_TS2, today=TODAY2))
+    first["dp_done"] = "select distinct event_date, network from dp_allocated"
+    step: dict[str, str] = {}
+    for k, v in pipeline_ctes("safe", run_ts=RUN_TS2, today=TODAY2).items():
+        if k == "dp_dates":
+            step["dp_pairs"] = """select distinct report_date, partner_name from fact_demand_partner_reports r
+ where not exists (select 1 from dp_done d where d.event_date = r.report_date and d.network = r.partner_name)
+ and (not exists (select 1 from some_fact_demand_partner_reports s where s.report_date = r.report_date and s.partner_name = r.partner_name)
+   or r.report_date >= cast((select increment_column from ev_wm) as date))"""
+            v = "select distinct report_date from dp_pairs"
+        elif k == "dp_pull":
+            v = """select r.*, r.report_date as max_demand_partner_date from fact_demand_partner_reports r
+ semi join dp_pairs p on r.report_date = p.report_date and r.partner_name = p.partner_name"""
+        step[k] = v
+    return _after(first, step)
 
 
 def events_gap_ctes(mode: str) -> dict[str, str]:
@@ -670,10 +687,10 @@ def _merge_counts_sql() -> str:
             ("gam", "ssot4", "gam_allocated", "ssot5", False, "t.network = 'GAM'")):
         over = "count(*) filter (t.tracked_event_count is not null)" if source in ("ssp", "syndication") else "0"
         parts.append(f"""select '{source}' as source, m.n as matched, {f"(select count(*) from {src}) - m.n" if inserts else "0"} as inserted,
- 0 as withdrawn, 0 as deleted, m.o as overlaps, (select count(*) from {result}) as fact_rows
+ 0 as withdrawn, 0 as deleted, m.o as overlapping, (select count(*) from {result}) as fact_rows
  from (select count(*) as n, {over} as o from {target} t join {src} s on {on} and {cond}) m""")
     return "select source, " + ", ".join(f"cast({c} as bigint) as {c}" for c in (
-        "matched", "inserted", "withdrawn", "deleted", "overlaps", "fact_rows")) + " from (" + "\nunion all\n".join(parts) + ")"
+        "matched", "inserted", "withdrawn", "deleted", "overlapping", "fact_rows")) + " from (" + "\nunion all\n".join(parts) + ")"
 
 
 def exact_counts_ctes() -> dict[str, str]:

@@ -240,7 +240,7 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
         overlap = matched & F.coalesce(spec.overlap, F.lit(False)) if spec.overlap is not None else F.lit(False)
         j = j.observe(observation, *[F.count_if(c).alias(n) for n, c in (
             ("matched", matched), ("inserted", source_only), ("withdrawn", withdrawn & ~deleted), ("deleted", deleted),
-            ("overlaps", overlap))])
+            ("overlapping", overlap))])
     if spec.delete is not None:
         j = j.where(~deleted)
     cols = []

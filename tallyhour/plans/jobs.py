@@ -181,6 +181,9 @@ def events_staged(inputs: Mapping[str, DataFrame], ssot: DataFrame, opts: Option
     else:
         pulled = pull.pull_events(inputs["events_stream"], wm_used, span=span, bounds=bounds,
                                   partition_col=opts.events_partition_col)
+    if reopened:
+        again = inputs["events_stream"].where(arrivals.in_hours("timestamp", reopened))
+        pulled = pulled.unionByName(pull.pull_events(again, None, span=None))
     grouped = _materialize(grouping.group_events(pulled, inputs["dim_line_items_mapping"]), opts,
                            "events_stream_grouping")
     return {"watermark": wm, "pulled": pulled, "grouped": grouped, "hours": hours, "files": files, "reopened": reopened}

@@ -135,7 +135,7 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     path = scratch_path(spark, "counted")
     run_all(spark, derived_inputs(spark, sf_dir), path, Options(run_ts=RUN_TS, catch_up=True))
-    names = ["matched", "inserted", "withdrawn", "deleted", "overlaps"]
+    names = ["matched", "inserted", "withdrawn", "deleted", "overlapping"]
     rows = [(v.info["source"], *[v.info[n] for n in names], sum(v.rows.values()))
             for v in versions.history(spark, path) if "matched" in v.info]  # five commits
     return spark.createDataFrame(rows, "source string, " + ", ".join(f"{n} long" for n in [*names, "fact_rows"]))
