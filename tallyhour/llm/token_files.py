@@ -39,6 +39,8 @@ SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 32
 MAGIC = int.from_bytes(b"S8TOKENS", "little")
 SYNC = b"\x00S8SYNC\n"
+#: Signs that may end a word whose other characters are letters; alone they are a piece.
+SIGNS = frozenset(",.;:!?")
 #: Words that a worker remembers.
 MEMORY = 600_000
 SLICE_BYTES = 4 << 20
@@ -192,9 +194,14 @@ class WordCoder:
         if len(known) > MEMORY:
             known.clear()
             pieces.clear()
+            known[""] = b""
         whole, several, missing = [], [], set()
         for w in words - known.keys():
-            if plain(w) and not any(map(w.__contains__, marks)):
+            if w.isascii() and (w.isalpha() or w[:-1].isalpha() and w[-1] in SIGNS):  # the most, cut without the pattern
+                p = [w.lower()] if w.isalpha() else [w[:-1].lower(), w[-1]]
+                several.append((w, p))
+                missing.update(p)
+            elif plain(w) and not any(map(w.__contains__, marks)):
                 p = cut(w.lower())
                 several.append((w, p))
                 missing.update(p)
@@ -212,9 +219,13 @@ class WordCoder:
         """Ids of every text as little-endian unsigned 32-bit integers."""
         rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         self.known[""] = b""
-        self.learn(set().union(*rows))
-        self.known[""] = b""
-        return [b"".join([self.known[w] for w in r]) for r in rows]
+        found = [list(map(self.known.get, r)) for r in rows]
+        missing = [k for k, f in enumerate(found) if None in f]
+        if missing:
+            self.learn({w for k in missing for w, x in zip(rows[k], found[k]) if x is None})
+            for k in missing:
+                found[k] = [self.known[w] if x is None else x for w, x in zip(rows[k], found[k])]
+        return [b"".join(f) for f in found]
 
 
 def coder(path: str) -> WordCoder:
