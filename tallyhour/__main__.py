@@ -4,6 +4,7 @@
                         [--staging <dir>] [--run-ts 2024-02-01T17:00:00] [--mode safe|parity]
                         [--catch-up] [--sources events_stream,ssp,...] [--dq-scope touched|full]
                         [--events-partition-col event_day] [--gam-partition-col event_day]
+                        [--replace-hours] [--track-files] [--count-method round|largest_remainder] [--keep-versions 10]
 
 Inputs are parquet tables named as in ``sources.tables.INPUT_TABLES``. On a
 cluster, ``spark-submit`` a two-line driver that calls ``main(sys.argv[1:])``;
@@ -36,6 +37,10 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--dq-scope", choices=["full", "touched"], default="touched")
     p.add_argument("--events-partition-col", default=None, help="day-partition column of the raw events table")
     p.add_argument("--gam-partition-col", default=None, help="day-partition column of the GAM table")
+    p.add_argument("--replace-hours", action="store_true", help="re-pulled hours and days lose rows their source no longer has")
+    p.add_argument("--track-files", action="store_true", help="raw event files that come late reopen their hours")
+    p.add_argument("--count-method", choices=["round", "largest_remainder"], default="round")
+    p.add_argument("--keep-versions", type=int, default=10, help="committed versions of the fact table that stay readable")
     p.add_argument("--no-raise", action="store_true", help="report blocking DQ failures without failing")
     return p.parse_args(argv)
 
@@ -46,7 +51,8 @@ def main(argv=None, spark: SparkSession | None = None) -> list[dict]:
     configure(spark)
     ensure_checkpoint_dir(spark)
     kw = dict(catch_up=a.catch_up, staging_dir=a.staging, dq_scope=a.dq_scope,
-              events_partition_col=a.events_partition_col, gam_partition_col=a.gam_partition_col)
+              events_partition_col=a.events_partition_col, gam_partition_col=a.gam_partition_col, replace_hours=a.replace_hours, track_files=a.track_files,
+              count_method=a.count_method, keep_versions=a.keep_versions)
     if a.run_ts:
         kw["run_ts"] = _dt.datetime.fromisoformat(a.run_ts)
     opts = Options.parity(**kw) if a.mode == "parity" else Options(**kw)
