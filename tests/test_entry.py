@@ -33,7 +33,8 @@ def test_every_query_has_oracle_and_matches(spark):
     for name in ["events_hourly_grouping", "gam_allocation", "dp_allocation", "ssp_explode", "merge_ssp_safe",
                  "consolidated_all_sources", "dq_suite", "dp_smart_delta", "url_shapes", "staging_by_expression",
                  "safe_single_step_events_gap", "parity_single_step_events_gap", "safe_single_step_dp_head_of_line",
-                 "ssp_explode_twins", "ssp_explode_twins_safe", "dp_allocation_twins", "dp_allocation_twins_safe"]:
+                 "ssp_explode_twins", "ssp_explode_twins_safe", "dp_allocation_twins", "dp_allocation_twins_safe",
+                 "merge_replace_hours", "gam_allocation_exact_counts", "dp_ledger_late_and_restated", "merge_overlap_counts"]:
         df = qs[name](spark, SF)
         cols = sorted(df.columns)
         got = sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.select(*cols).collect()),
