@@ -39,7 +39,7 @@ SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 32
 MAGIC = int.from_bytes(b"S8TOKENS", "little")
 SYNC = b"\x00S8SYNC\n"
-#: Words that a worker remembers.
+#: Words, and pieces of words, that a worker remembers.
 MEMORY = 600_000
 SLICE_BYTES = 4 << 20
 
@@ -167,12 +167,13 @@ def read_segments(content: bytes):
         yield names, sizes >> 1, unpack(body[2 * docs + blocks:], body[2 * docs:2 * docs + blocks].astype(np.int64), n)
 
 
-class WordCoder:
-    """Encodes texts with a tokenizers file, word by word, remembering words met before.
+class WordCoder(dict):
+    """Encodes texts with a tokenizers file, word by word: the dictionary of the words met before.
 
     White space only separates in this vocabulary, so that a text's ids are those of its
     blank-separated words. Plain words (printable Latin-1) are cut into letters, digits
     and signs here and merged by the library's model; all others go through the library whole.
+    A word costs one look-up; ``__missing__`` encodes those not met before.
     """
 
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -183,38 +184,38 @@ class WordCoder:
         self.tokenizer = tokenizer
         #: what every special token starts with; words that hold it go through the library whole
         self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
-        self.stand_in = {b: c for c, b in _byte_chars().items()}
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        known, pieces, cut, plain, marks = self.known, self.pieces, self.CUT.findall, self.PLAIN.fullmatch, self.marks
-        if len(known) > MEMORY:
-            known.clear()
-            pieces.clear()
-        whole, several, missing = [], [], set()
-        for w in words - known.keys():
-            if plain(w) and not any(map(w.__contains__, marks)):
-                p = cut(w.lower())
-                several.append((w, p))
-                missing.update(p)
-            else:
-                whole.append(w)
-        merge, stand_in = self.tokenizer.model.tokenize, self.stand_in.__getitem__
-        for p in missing - pieces.keys():
-            pieces[p] = array("I", [t.id for t in merge(p if p.isascii() else "".join(map(stand_in, p.encode())))]).tobytes()
-        for w, p in several:
-            known[w] = pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p])
-        for w, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
+        self.pieces = Pieces(tokenizer.model)
+
+    def __missing__(self, w: str) -> bytes:
+        if not self.PLAIN.fullmatch(w) or any(map(w.__contains__, self.marks)):
+            ids = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+        elif w.isalpha():  # one piece
+            ids = self.pieces[w.lower()]
+        else:
+            ids = b"".join(map(self.pieces.__getitem__, self.CUT.findall(w.lower())))
+        self[w] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        self.known[""] = b""
-        self.learn(set().union(*rows))
-        self.known[""] = b""
-        return [b"".join([self.known[w] for w in r]) for r in rows]
+        for memory in (self, self.pieces):
+            if len(memory) > MEMORY:
+                memory.clear()
+        ids_of = self.__getitem__
+        return [b"".join(map(ids_of, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts]
+
+
+class Pieces(dict):
+    """Ids of the letter runs, digits and sign runs met before, merged by the library's model."""
+
+    def __init__(self, model):
+        self.model = model
+        self.stand_in = {b: c for c, b in _byte_chars().items()}
+
+    def __missing__(self, p: str) -> bytes:
+        chars = p if p.isascii() else "".join(map(self.stand_in.__getitem__, p.encode()))
+        ids = self[p] = array("I", [t.id for t in self.model.tokenize(chars)]).tobytes()
+        return ids
 
 
 def coder(path: str) -> WordCoder:

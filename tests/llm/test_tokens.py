@@ -132,6 +132,26 @@ def test_word_coder_equals_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
+def test_word_coder_memory_keeps_pieces_and_is_bounded(monkeypatch):
+    t, asked = library("word_bpe_49k.json"), []
+
+    class Model:
+        def tokenize(self, p):
+            asked.append(p)
+            return t.model.tokenize(p)
+
+    c = token_files.WordCoder(t)
+    c.pieces.model = Model()
+    monkeypatch.setattr(token_files, "MEMORY", 5)
+    text = "alpha Alpha ALPHA aLpha alpha! Alpha! alpha? "
+    for _ in range(3):  # each time the words are forgotten, their three pieces are not
+        assert np.frombuffer(c.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == ["!", "?", "alpha"]
+    for x in TEXTS * 2:
+        assert np.frombuffer(c.encode([x])[0], "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
+        assert len(c) <= 5 + len(x) + 1 and len(c.pieces) <= 5 + len(x)
+
+
 def brute_rows(rows, t):
     out, start = [], 0
     for d, text in rows:
