@@ -255,13 +255,15 @@ def merge_into(target: DataFrame, source: DataFrame, spec: MergeSpec, *,
             e = F.when(source_only, ins).otherwise(e)
         cols.append(e.cast(target.schema[c].dataType).alias(c))
     merged = j.select(*cols)
-    if carried is not None:
-        merged = merged.unionByName(carried.select(*target.columns))
     if null_date:
         dates = [*dates, None]
     if materialize is not None and materialize_scope == "table":
-        table = materialize(untouched.unionByName(merged))
+        # one pass over the rows that stay: as two, every merge would double the table's pieces
+        stays = untouched if carried is None else target.where(~(in_touched & eligible))
+        table = materialize(stays.unionByName(merged))
         return MergeResult(table, table.where(in_touched), dates)
+    if carried is not None:
+        merged = merged.unionByName(carried.select(*target.columns))
     if materialize is not None:
         merged = materialize(merged)
     return MergeResult(untouched.unionByName(merged), merged, dates)

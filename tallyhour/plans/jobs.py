@@ -203,9 +203,9 @@ def run_events(inputs, ssot: DataFrame, opts: Options) -> JobResult:
 
 def ssp_staged(inputs, ssot, opts: Options) -> dict:
     wm = watermark.watermark_value(ssot, "ssp", dates=opts.fact_dates)
-    has = watermark.has_new_data(inputs["fact_ssp_report"], "report_date", wm,
-                                 where=F.col("site_type").isin(*watermark.SSP_SITE_TYPES))
-    pulled = pull.pull_ssp(inputs["fact_ssp_report"], wm)
+    # the report may itself be a query: it is read once, by the pull, which holds every row of the gate
+    pulled = _materialize(pull.pull_ssp(inputs["fact_ssp_report"], wm), opts, "ssp_pull")
+    has = watermark.has_new_data(pulled, "report_date", wm)
     exploded = explode.ssp_explode(pulled, inputs["dim_country_mapping"], remainder=opts.explode_remainder)
     if has:
         exploded = _materialize(exploded, opts, "ssp_explode_data")
@@ -226,8 +226,8 @@ def run_ssp(inputs, ssot, opts: Options) -> JobResult:
 
 def syndication_staged(inputs, ssot, opts: Options) -> dict:
     wm = watermark.watermark_value(ssot, "syndication", dates=opts.fact_dates)
-    has = watermark.has_new_data(inputs["fact_syndication_revenue"], "transaction_date", wm)
-    pulled = pull.pull_syndication(inputs["fact_syndication_revenue"], wm)
+    pulled = _materialize(pull.pull_syndication(inputs["fact_syndication_revenue"], wm), opts, "syndication_pull")
+    has = watermark.has_new_data(pulled, "event_date", wm)
     exploded = explode.syndication_explode(pulled, remainder=opts.explode_remainder)
     if has:
         exploded = _materialize(exploded, opts, "syndication_explode_data")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhour.operators.mapping import DimensionKeyError, checked_dim
 from tallyhour.plans.backfill import scenario_options
-from tallyhour.plans.jobs import Options, consolidate, run_all, run_gam
+from tallyhour.plans.jobs import Options, consolidate, run_all, run_gam, ssp_staged, syndication_staged
 from tallyhour.sources.fixtures import derived_inputs
 from tallyhour.sources.staging import apply_retention, read_ssot
 from tallyhour.sources.tables import empty_ssot
@@ -65,6 +65,18 @@ def test_safe_defaults_bootstrap_window(spark, inputs):
     assert min(days) == dt.date(2024, 1, 1) and max(days) <= dt.date(2024, 1, 5)
 
 
+def test_derived_reports_are_read_once(spark, inputs):
+    """A report that is a query is staged by the pull; gate, explosion and later readers do not derive it again."""
+    ssot, opts = empty_ssot(spark), Options(run_ts=dt.datetime(2024, 2, 1, 17))
+    for staged in (ssp_staged, syndication_staged):
+        st = staged(inputs, ssot, opts)
+        assert st["has_new_data"] and st["exploded"].count() > 0
+        assert "Aggregate" not in st["pulled"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in staged(inputs, ssot, opts.with_(materialize=False))["pulled"]._jdf.queryExecution().optimizedPlan().toString()
+    late = dict(inputs, fact_ssp_report=inputs["fact_ssp_report"].where("site_type = 'owned'"))
+    assert not ssp_staged(late, ssot, opts)["has_new_data"]
+
+
 def test_dimension_duplicates_rejected(spark):
     dim = spark.createDataFrame([("1", "a"), ("1", "b"), (None, "c"), (None, "d")], "line_item_id string, advertiser_name string")
     with pytest.raises(DimensionKeyError):

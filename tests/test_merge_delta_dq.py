@@ -35,6 +35,21 @@ def test_upsert_idempotent(spark):
     assert r["dwh_created_at"] == RUN_TS and r["reconciled_event_count"] is None
 
 
+def test_a_merge_does_not_double_the_tables_pieces(spark):
+    t = ssot_rows(spark, [fact(day=d, hour=h, network=n, tracked_event_count=1) for d in (1, 2) for h in range(20)
+                          for n in ("GAM", "Magnite")] + [fact(day=3)]).repartition(60).localCheckpoint()
+    src = t.where("network = 'GAM' and event_date = date'2024-01-02'").select(
+        *GRAIN, F.lit(5).cast("long").alias("allocated_reconciled_event_count"),
+        F.lit(2.0).alias("allocated_actual_revenue"), F.lit(RUN_TS).cast("timestamp_ntz").alias("max_gam_timestamp"))
+    # rows of the touched day before the watermark's day are carried: day 2 is touched, and none of it can match
+    for wm, filled in ((None, 20), (dt.datetime(2024, 1, 9), 0)):
+        res = merge.merge_into(t, src, merge.gam_spec(RUN_TS, wm), materialize=lambda d: d.localCheckpoint(),
+                               materialize_scope="table")
+        assert res.table.count() == 81 and res.table.where("reconciled_event_count = 5").count() == filled
+        assert _sorted(res.merged) == _sorted(res.table.where("event_date = date'2024-01-02'")) and res.merged.count() == 40
+    assert res.table.rdd.getNumPartitions() < 60 + 60  # carried rows stay with those of the other days
+
+
 def test_namibia_vs_null_keys(spark):
     src = _grouped(spark, [fact(network="GAM", country="NA", tracked_event_count=1),
                            fact(network="GAM", country=None, tracked_event_count=2)])
