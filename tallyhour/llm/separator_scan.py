@@ -9,9 +9,11 @@ the files) tells how many separators and how many open ids come before each bloc
 which numbers the documents and completes the cut ones.
 
 ``write_flat`` makes such files with Spark's text writer, in the order of the table: texts are
-not shuffled. A record is a run of documents of about ``RECORD_BYTES``, its last end id is the
-line separator; how many records make a file follows from the longest text, so that no file
-comes near the 2 GB that the binary file source reads. Ascending order of doc_id is made
+not shuffled. A file is one record, a run of documents of about ``RECORD_BYTES`` whose last end id
+is the line separator. Files are small however much a task reads, because the binary file source
+holds a file in memory twice over, and Spark keeps those of the tasks that ended in the last two
+seconds (a Python task's monitor looks no more often whether it is over): what an executor keeps
+is what it reads in that time, except that of a task's files only the last counts. Ascending order of doc_id is made
 good on the counts, which are narrow: ``token_counts`` numbers the rows of the table in the order
 of the files, joins them with the scanned documents, and sums up in order of doc_id.
 The table must give the same rows in the same partitions when it is read again, as files do;
@@ -27,6 +29,7 @@ encodes to it. An id that does not fit ``id_bytes`` is an error.
 from __future__ import annotations
 
 import base64
+import re
 import sys
 
 import numpy as np
@@ -41,9 +44,9 @@ BLOCK_IDS = 1 << 20
 #: The pattern that cuts text before merging. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SLICE_BYTES = 4 << 20
-#: About the bytes of a record (more only for one longer document), and at most those of a file.
-RECORD_BYTES = 1 << 20
-FILE_BYTES = 1 << 30
+#: About the bytes of a file, and the most it has (more only for one longer document).
+RECORD_BYTES = 4 << 20
+FILE_BYTES = 8 << 20
 
 
 def encoding(path: str):
@@ -57,19 +60,16 @@ def encoding(path: str):
     return kept[path]
 
 
-def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str, id_bytes: int = 4, longest: int | None = None) -> None:
+def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str, id_bytes: int = 4) -> None:
     """Flat files of all documents below ``path``, in the order of the table.
 
-    ``id_bytes``: 4, or 2 for vocabularies of fewer than 65,536 ids. ``longest``: bytes of the longest text, where known.
+    ``id_bytes``: 4, or 2 for vocabularies of fewer than 65,536 ids.
     """
     ship(docs.sparkSession)
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
     if end_id >> 8 * id_bytes:
         raise ValueError(f"the end id does not fit {id_bytes} bytes")
-    if longest is None:
-        longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
-    records = max(1, FILE_BYTES // max(2 * RECORD_BYTES, (longest + 1) * id_bytes))  # a text has at most as many ids as bytes
-    record_bytes, end = RECORD_BYTES, np.array([end_id], kind).tobytes()
+    record_bytes, file_bytes, end = RECORD_BYTES, FILE_BYTES, np.array([end_id], kind).tobytes()
 
     def run(batches):
         from tallyhour.llm import separator_scan
@@ -84,8 +84,12 @@ def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str, id_bytes
         for batch in batches:
             for part in slices(batch, 0, SLICE_BYTES):
                 for t in strings(part.column(0)):
-                    held.append(np.array(enc.encode_ordinary(t), kind).tobytes())
-                    size += len(held[-1]) + id_bytes
+                    ids = np.array(enc.encode_ordinary(t), kind).tobytes()
+                    if held and size + len(ids) + id_bytes > file_bytes:
+                        yield emit()
+                        held, size = [], 0
+                    held.append(ids)
+                    size += len(ids) + id_bytes
                     if size >= record_bytes:
                         yield emit()
                         held, size = [], 0
@@ -94,7 +98,7 @@ def write_flat(docs: DataFrame, rank_file: str, end_id: int, path: str, id_bytes
 
     (docs.select("text").mapInArrow(run, "ids binary")
      .select(F.col("ids").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
-     .option("lineSep", end.decode("latin-1")).option("maxRecordsPerFile", records).text(path))
+     .option("lineSep", end.decode("latin-1")).option("maxRecordsPerFile", 1).text(path))
 
 
 def scan_block(ids: np.ndarray, end_id: int) -> tuple[np.ndarray, int]:
@@ -108,23 +112,24 @@ def scan(spark: SparkSession, path: str, end_id: int, id_bytes: int = 4) -> Data
     """ordinal, start, n_tokens and closed of every document of the flat files below ``path``."""
     ship(spark)
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
-    name = r"part-(\d+)-[^/]*-c(\d+)[^/]*$"
-    files = (spark.read.format("binaryFile").load(path).where("length > 0")
-             .select(F.regexp_extract("path", name, 1).cast("long").alias("part"),
-                     F.regexp_extract("path", name, 2).cast("long").alias("file"), "content"))
+    name = re.compile(r"part-(\d+)-[^/]*-c(\d+)[^/]*$")
+    # names and empty files are dealt with in Python: any expression here would have Spark copy the contents
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def blocks(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                content = batch.column(2)[r].as_buffer()
+                content = batch.column(1)[r].as_buffer()
                 if len(content) % id_bytes:
                     raise ValueError("a flat token file holds whole ids")
+                if not len(content):
+                    continue
+                part, file = map(int, name.search(batch.column(0)[r].as_py()).groups())
                 ids = np.frombuffer(content, kind)
                 found = [scan_block(ids[i:i + BLOCK_IDS], end_id) for i in range(0, len(ids), BLOCK_IDS)]
                 k = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[r].as_py()] * k, pa.int64()),
-                     pa.array([batch.column(1)[r].as_py()] * k, pa.int64()), pa.array(np.arange(k)),
+                    [pa.array([part] * k, pa.int64()), pa.array([file] * k, pa.int64()), pa.array(np.arange(k)),
                      pa.array([len(ids[i:i + BLOCK_IDS]) for i in range(0, len(ids), BLOCK_IDS)], pa.int64()),
                      pa.array([len(n) for n, _ in found], pa.int64()), pa.array([t for _, t in found], pa.int64()),
                      pa.array([n.astype(np.int64).tobytes() for n, _ in found], pa.binary())],
@@ -178,13 +183,13 @@ def scan(spark: SparkSession, path: str, end_id: int, id_bytes: int = 4) -> Data
 
 
 def ordinals(docs: DataFrame) -> DataFrame:
-    """part, doc_id, hash and length of the text, and place in the order of the files, of every row."""
+    """part, doc_id, hash of the text, and place in the order of the files, of every row."""
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = stage(docs.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("bytes"),
-                             F.spark_partition_id().cast("long").alias("part"), F.lit(0).cast("long").alias("file"), at.alias("i")),
+    rows = stage(docs.select("doc_id", F.xxhash64("text").alias("h"), F.spark_partition_id().cast("long").alias("part"),
+                             F.lit(0).cast("long").alias("file"), at.alias("i")),
                  "separator-order")
     parts = running_total(rows.groupBy("part", "file").agg(F.count("*").alias("n")), "n", "base")
-    return rows.join(parts.select("part", "base"), "part").select("part", "doc_id", "h", "bytes", (F.col("base") + F.col("i")).alias("ordinal"))
+    return rows.join(parts.select("part", "base"), "part").select("part", "doc_id", "h", (F.col("base") + F.col("i")).alias("ordinal"))
 
 
 def in_order(counted: DataFrame) -> DataFrame:
@@ -218,8 +223,7 @@ def token_counts(docs: DataFrame, rank_file: str, end_id: int, id_bytes: int = 4
     ship(spark)
     path = scratch(spark, "flat-tokens")
     order = stage(ordinals(docs), "separator-rows")
-    longest = order.agg(F.max("bytes")).first()[0] or 0
-    write_flat(docs, rank_file, end_id, path, id_bytes, longest)
+    write_flat(docs, rank_file, end_id, path, id_bytes)
     found = stage(scan(spark, path, end_id, id_bytes), "separator-documents")
     if found.count() != order.count():
         raise RuntimeError("the table gave other rows when it was read again: write it down first")

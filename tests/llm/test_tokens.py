@@ -256,6 +256,31 @@ def test_long_documents_fill_several_bounded_files(spark, docs_of, tmp_path, mon
     assert got == want
 
 
+def test_a_task_writes_many_small_files(spark, docs_of, tmp_path):
+    """The binary file source holds whole files in memory, so that they must not grow with what a task reads."""
+    rows = [(i, "w " * 100_000) for i in range(64)]  # 13 MB of two-byte ids in one task
+    flat = str(tmp_path / "flat")
+    separator_scan.write_flat(docs_of(rows).coalesce(1), vocabulary("byte_bpe_50k.tiktoken"), 50256, flat, 2)
+    sizes = [os.path.getsize(f"{flat}/{f}") for f in os.listdir(flat) if f.startswith("part-")]
+    assert sum(sizes) > 12 << 20 and len(sizes) > 2 and max(sizes) <= 8 << 20
+    assert separator_scan.scan(spark, flat, 50256, 2).where("closed").count() == 64
+
+
+def test_a_long_document_has_a_file_of_its_own(spark, docs_of, tmp_path, monkeypatch):
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    monkeypatch.setattr(separator_scan, "RECORD_BYTES", 400)
+    monkeypatch.setattr(separator_scan, "FILE_BYTES", 1500)
+    rows = [(i, "long one " * 4000 if i == 23 else "a b c " * 6) for i in range(40)]
+    flat = str(tmp_path / "flat")
+    separator_scan.write_flat(docs_of(rows).coalesce(1), ranks, 50256, flat, 2)
+    sizes = sorted(os.path.getsize(f"{flat}/{f}") for f in os.listdir(flat) if f.startswith("part-"))
+    enc = separator_scan.encoding(ranks)
+    lengths = [len(enc.encode_ordinary(t)) + 1 for _, t in rows]
+    assert sizes[-1] == 2 * lengths[23] and sizes[-2] <= 1500
+    got = sorted(map(tuple, separator_scan.scan(spark, flat, 50256, 2).select("ordinal", "n_tokens").collect()))
+    assert got == list(enumerate(lengths))
+
+
 def test_ids_that_do_not_fit_are_an_error(spark, docs_of, tmp_path):
     with pytest.raises(ValueError, match="does not fit"):
         separator_scan.write_flat(docs_of([(1, "a")]), vocabulary("byte_bpe_50k.tiktoken"), 1 << 16, str(tmp_path / "x"), 2)
